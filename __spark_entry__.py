@@ -316,10 +316,12 @@ def _values_sql(role: str, fmt: str, metrics: tuple[str, ...], picks: dict[str,
     from scorelake.specs import FIRST_METRICS, MEAN_METRICS
     text = any(m in FIRST_METRICS for m in metrics)
     rows = []
+    pick_cols = ", ".join(f"{_pick_sql(role, fmt, rank)} AS pick_{name}" for name, rank in picks.items())
+    src = f"(SELECT * FROM rows_{role}, (SELECT {pick_cols}) AS picks)"
     for i, m in enumerate(metrics):
         vals = []
         for name, rank in picks.items():
-            v = O.metric_agg(m, f"format = '{fmt}' AND full_name = {_pick_sql(role, fmt, rank)}")
+            v = O.metric_agg(m, f"format = '{fmt}' AND full_name = pick_{name}")
             if m in FIRST_METRICS:
                 pass
             elif text and m not in MEAN_METRICS:
@@ -328,7 +330,7 @@ def _values_sql(role: str, fmt: str, metrics: tuple[str, ...], picks: dict[str,
                 v = f"CAST({v} AS {'VARCHAR' if text else 'DOUBLE'})"
             vals.append(f"{v} AS {name}")
         rows.append(f"SELECT '{m}' AS metric, {i} AS idx, bool_or({O.q(m)} IS NOT NULL) AS available, "
-                    f"{', '.join(vals)}{carry} FROM rows_{role}")
+                    f"{', '.join(vals)}{carry} FROM {src}")
     allm = " UNION ALL ".join(rows)
     lim = f" WHERE position <= {limit}" if limit else ""
     names = ", ".join(picks)
@@ -357,11 +359,11 @@ def _versus_sql(role: str, fmt: str) -> str:
 _reg("versus", _versus_sql("batsmen", "ODI"))(
     lambda spark, d: board.versus(_sc(spark, d).rows("batsmen"), "batsmen", "ODI"))
 
-_CARD_COUNTRY = (", coalesce(min(CASE WHEN format = '{fmt}' AND full_name = {pick} THEN country END), "
+_CARD_COUNTRY = (", coalesce(min(CASE WHEN format = '{fmt}' AND full_name = pick_value THEN country END), "
                  "'Unknown country') AS country")
 _reg("versus_card", _values_sql(
     "fielder", "ODI", spec("fielder").metrics, {"value": 1}, 4,
-    carry=_CARD_COUNTRY.format(fmt="ODI", pick=_pick_sql("fielder", "ODI", 1))))(
+    carry=_CARD_COUNTRY.format(fmt="ODI")))(
     lambda spark, d: board.versus_card(_sc(spark, d).rows("fielder"), "fielder", "ODI"))
 
 
@@ -477,3 +479,28 @@ def _union_roles(spark, d):
 @_reg("json_records")
 def _json(spark, d):
     return serve.json_records(_sc(spark, d).country_stats("batsmen", "All"))
+
+
+def _scratch_lake(spark: SparkSession) -> str:
+    import uuid
+    from scorelake.session import checkpoint_dir
+    return f"{checkpoint_dir(spark)}/lake-{uuid.uuid4().hex}"
+
+
+@_reg("lake_roundtrip")
+def _lake_roundtrip(spark, d):
+    """Bronze write of the raw batting frame and its pruned read-back."""
+    from scorelake.sources import lake
+    root = _scratch_lake(spark)
+    lake.write_bronze(_sc(spark, d).raw("batsmen"), root, "batsmen")
+    return lake.read_bronze(spark, root, "batsmen", "T20")
+
+
+@_reg("refresh_all")
+def _refresh_all(spark, d):
+    """The whole batch into a lake, then a serving query on it."""
+    from scorelake.plans.refresh import refresh
+    from scorelake.plans.refresh import land_fixture
+    root = _scratch_lake(spark)
+    refresh(spark, root, raw=land_fixture(spark, d, root))
+    return Scorecards.from_lake(spark, root).rankings("bowler")

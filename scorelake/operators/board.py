@@ -169,12 +169,11 @@ def metric_availability(rows: DataFrame, role: str) -> DataFrame:
     """B2: per board metric of the role, whether any row (any format) has it."""
     s = spec(role)
     one = rows.agg(*[F.max(F.col(m).isNotNull()).alias(f"a{i}") for i, m in enumerate(s.metrics)])
-    out = _long(one, [(m, {"available": f"a{i}", "position": f"p{i}"})
-                      for i, m in enumerate(s.metrics)],
-                [("position", "INT"), ("available", "BOOLEAN")])
+    out = _long(one, [(m, {"available": f"a{i}"}) for i, m in enumerate(s.metrics)],
+                [("available", "BOOLEAN")])
     pos = F.array_position(F.array(*[F.lit(m) for m in s.metrics]), F.col("metric")).cast("int")
-    return out.withColumn("position", pos).withColumn("available",
-                                                      F.coalesce("available", F.lit(False)))
+    return out.select("metric", pos.alias("position"),
+                      F.coalesce("available", F.lit(False)).alias("available"))
 
 
 def _metric_values(rows: DataFrame, role: str, metrics: tuple[str, ...], fmt: str,

@@ -9,8 +9,8 @@ cluster)::
     gold/player_stats_all_formats_<role>/
 
 Role datasets are partitioned by format, so a per-format read prunes to one
-directory (``PartitionFilters``) and a role-wide read is one scan.  Writes
-overwrite only the partitions present in the frame
+directory (``PartitionFilters``) and a role-wide read is one scan.  A write
+can replace only the partitions present in the frame
 (``partitionOverwriteMode=dynamic``), so re-landing one format keeps the
 others.
 """
@@ -65,18 +65,21 @@ def read_raw_role(spark: SparkSession, src: str, role: str) -> DataFrame:
     return role_frame(frames)
 
 
-def write_dataset(df: DataFrame, path: str, partition_by: str | None = "format") -> None:
-    """Overwrite a lake dataset (dynamic partition overwrite)."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        w = df.write.mode("overwrite")
-        if partition_by and partition_by in df.columns:
-            w = w.partitionBy(partition_by)
-        w.parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+def write_dataset(df: DataFrame, path: str, partition_by: str | None = "format",
+                  only_present_partitions: bool = False) -> None:
+    """Overwrite a lake dataset.
+
+    ``only_present_partitions`` replaces just the format partitions present
+    in ``df`` (dynamic partition overwrite, e.g. re-landing one format);
+    otherwise the whole dataset is replaced.  The write goes through
+    Spark's commit protocol: a failed or retried task leaves no output.
+    """
+    w = df.write.mode("overwrite")
+    if only_present_partitions:
+        w = w.option("partitionOverwriteMode", "dynamic")
+    if partition_by and partition_by in df.columns:
+        w = w.partitionBy(partition_by)
+    w.parquet(path)
 
 
 def write_bronze(df: DataFrame, lake_root: str, role: str) -> None:
