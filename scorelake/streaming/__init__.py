@@ -1,0 +1,12 @@
+"""Incremental landing of raw CSV drops (S1 -> S2 as a file stream).
+
+The source system has no streaming operator: it re-downloads the whole dump
+and overwrites every layer.  The only streaming piece here is the landing
+step written with Structured Streaming, so new dump files are picked up
+exactly once (file-source bookkeeping in the checkpoint), after which the
+ordinary batch refresh rebuilds silver and gold.
+"""
+
+from scorelake.streaming.ingest import land_new_files
+
+__all__ = ["land_new_files"]

@@ -1,0 +1,64 @@
+"""Exactly-once landing of new raw CSV files.
+
+``land_new_files(spark, drop_dir, lake_root, role, fmt, columns)`` starts a
+file-source stream over one (role, format) drop folder with the all-text
+schema of that file and runs it with ``trigger(availableNow=True)`` (every
+file present now, then stop).  Rows go to ``landing/<role>/<fmt>`` through
+the Parquet file sink (one sink, hence one metadata log, per stream); the
+sink's log makes a retried micro-batch replace, not repeat, its output, and
+the source's log in the checkpoint (under the shared
+``spark.checkpoint.dir``) remembers which files were landed.
+``read_landed`` gives the role frame that the batch ``refresh`` takes as
+``raw``; each per-format read honours its sink log.
+"""
+
+from __future__ import annotations
+
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from scorelake.operators.clean import role_frame
+from scorelake.session import checkpoint_dir
+from scorelake.specs import FORMATS, check_format, spec
+
+
+def landing_path(lake_root: str, role: str, fmt: str) -> str:
+    return f"{lake_root}/landing/{spec(role).name}/{check_format(fmt, allow_all=False)}"
+
+
+def land_new_files(spark: SparkSession, drop_dir: str, lake_root: str, role: str, fmt: str,
+                   columns: list[str], checkpoint: str | None = None) -> int:
+    """Land the not-yet-landed CSV files of ``drop_dir``; returns rows landed."""
+    s = spec(role)
+    check_format(fmt, allow_all=False)
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
+    stream = (spark.readStream.schema(schema).option("header", True)
+              .option("maxFilesPerTrigger", 64).csv(drop_dir)
+              .withColumn("format", F.lit(fmt)))
+    # one checkpoint per (source folder, target): the file log is per source
+    key = hashlib.sha1(f"{drop_dir}|{landing_path(lake_root, role, fmt)}".encode()).hexdigest()[:16]
+    ckpt = checkpoint or f"{checkpoint_dir(spark)}/land-{s.name}-{fmt}-{key}"
+    q = (stream.writeStream.format("parquet")
+         .option("path", landing_path(lake_root, role, fmt))
+         .option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return int(sum(p.numInputRows for p in q.recentProgress))
+
+
+def read_landed(spark: SparkSession, lake_root: str, role: str) -> DataFrame:
+    """Everything landed for a role (all formats), as a raw role frame."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    frames = {}
+    for fmt in FORMATS:
+        path = landing_path(lake_root, role, fmt)
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        if p.getFileSystem(conf).exists(p):
+            frames[fmt] = spark.read.parquet(path)
+    if not frames:
+        raise FileNotFoundError(f"nothing landed for {role} under {lake_root}")
+    return role_frame(frames)
