@@ -228,11 +228,17 @@ for _role in ROLES:
         f"WHERE format = '{_fmt}' ORDER BY {_keys}, {_rest} LIMIT 25"))(
         lambda spark, d, r=_role, f=_fmt: board.format_ranking(_sc(spark, d).rows(r), r, f))
 
+for _role in ROLES:
+    _reg(f"ranking_view_{_role}", O.with_roles(
+        f"SELECT {', '.join(board.RANKING_VIEW_COLUMNS[_role])} FROM pt_{_role}", [_role],
+        extra=O.player_table_cte(_role)))(
+        lambda spark, d, r=_role: board.ranking_view(_sc(spark, d).rankings(r), r))
+
 _reg("country_sorted", O.with_roles(
-    f"SELECT {', '.join(serve.COUNTRY_COLUMNS['fielder'])} FROM cw_fielder WHERE format = 'Test'",
+    f"SELECT {', '.join(board.COUNTRY_VIEW_COLUMNS['fielder'])} FROM cw_fielder WHERE format = 'Test'",
     ["fielder"], extra=O.country_wise_cte("fielder")))(
-    lambda spark, d: board.country_sorted(_sc(spark, d).country_stats("fielder", "Test"),
-                                          "fielder"))
+    lambda spark, d: board.country_view(board.country_sorted(
+        _sc(spark, d).country_stats("fielder", "Test"), "fielder"), "fielder"))
 
 
 def _leader_sql(role: str, fmt: str, metric: str, asc: bool, top: int = 12) -> str:

@@ -469,6 +469,35 @@ def format_ranking(rows: DataFrame, role: str, fmt: str, top: int = 25) -> DataF
             .select(*s.ranking_columns))
 
 
+# Columns the board shows for the all-format rankings and country tables
+RANKING_VIEW_COLUMNS = {
+    "batsmen": ("full_name", "country", "formats_played", "total_matches", "total_runs",
+                "total_centuries", "total_fifties", "total_average"),
+    "bowler": ("full_name", "country", "formats_played", "total_matches", "total_wickets",
+               "average_bowling_average", "average_bowling_economy"),
+    "fielder": ("full_name", "country", "formats_played", "total_catches",
+                "total_wicket_keeper_catches", "total_stumpings"),
+}
+COUNTRY_VIEW_COLUMNS = {
+    "batsmen": ("country", "number_of_players", "total_runs", "average_batting_average",
+                "average_strike_rate", "total_hundreds", "total_fifties", "total_ducks"),
+    "bowler": ("country", "number_of_players", "total_wickets", "runs_conceded",
+               "average_bowling_average", "average_economy", "total_five_wicket_hauls"),
+    "fielder": ("country", "number_of_players", "total_dismissals", "total_catches",
+                "total_stumpings"),
+}
+
+
+def ranking_view(rankings: DataFrame, role: str) -> DataFrame:
+    """The all-format ranking columns the board shows (order kept)."""
+    return rankings.select(*RANKING_VIEW_COLUMNS[spec(role).name])
+
+
+def country_view(country_stats: DataFrame, role: str) -> DataFrame:
+    """The country columns the board shows."""
+    return country_stats.select(*COUNTRY_VIEW_COLUMNS[spec(role).name])
+
+
 def country_sorted(country_stats: DataFrame, role: str) -> DataFrame:
     """Country statistics by the role's primary column, NULL as 0."""
     from scorelake.operators.serve import COUNTRY_COLUMNS

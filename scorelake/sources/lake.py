@@ -82,6 +82,27 @@ def write_dataset(df: DataFrame, path: str, partition_by: str | None = "format",
     w.parquet(path)
 
 
+def write_table(df: DataFrame, target: str, table: str | None = None,
+                options: dict[str, str] | None = None) -> None:
+    """Overwrite a table at ``target``.
+
+    A ``jdbc:`` URL writes through Spark's JDBC source into ``table``
+    (truncating, so the table's definition and dependants survive); any
+    other target is a lake path written as Parquet.
+    """
+    if target.startswith("jdbc:"):
+        if not table:
+            raise ValueError("a JDBC target needs a table name")
+        w = (df.write.format("jdbc").mode("overwrite").option("url", target)
+             .option("dbtable", table).option("truncate", "true")
+             .option("cascadeTruncate", "true"))
+        for k, v in (options or {}).items():
+            w = w.option(k, v)
+        w.save()
+    else:
+        write_dataset(df, f"{target}/{table}" if table else target)
+
+
 def write_bronze(df: DataFrame, lake_root: str, role: str) -> None:
     """Land a raw role frame (text columns + format) as bronze."""
     write_dataset(df, f"{lake_root}/bronze/{spec(role).name}")
