@@ -248,7 +248,7 @@ def _leader_sql(role: str, fmt: str, metric: str, asc: bool, top: int = 12) -> s
     inner = (f"SELECT full_name, {O.metric_agg(metric)} AS value, min(country) AS country "
              f"FROM rows_{role} WHERE format = '{fmt}' GROUP BY full_name")
     return _rows_sql(role, (
-        f"SELECT row_number() OVER (ORDER BY {order}) AS rank, full_name, country, "
+        f"SELECT CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS rank, full_name, country, "
         f"CAST(value AS DOUBLE) AS value FROM (SELECT * FROM ({inner}) WHERE value IS NOT NULL "
         f"ORDER BY {order} LIMIT {top})"))
 
@@ -272,7 +272,7 @@ def _suggest_sql(role: str, fmt: str, query: str, exclude_first: bool) -> str:
     order = f"{O.num('value')} DESC, full_name"
     ex = f" AND full_name <> {_pick_sql(role, fmt, 1)}" if exclude_first else ""
     return _rows_sql(role, (
-        f"SELECT row_number() OVER (ORDER BY {order}) AS rank, full_name, country, "
+        f"SELECT CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS rank, full_name, country, "
         f"CAST(value AS DOUBLE) AS value FROM (SELECT * FROM {r} "
         f"WHERE contains(lower(full_name), '{query.lower()}'){ex} ORDER BY {order} LIMIT 8)"))
 
