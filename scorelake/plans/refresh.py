@@ -12,6 +12,7 @@ job (one scan, one de-duplication shuffle) and one job per gold table.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,12 +57,18 @@ def _role_chain(spark: SparkSession, lake_root: str, role: str, frame: DataFrame
     silver = clean(lake.read_bronze(spark, lake_root, role), role)  # S3, C*
     lake.write_silver(silver, lake_root, role)  # S4
     s = lake.read_silver(spark, lake_root, role)
-    # level 1: G1-G9 of the role (U1-U3 are views over silver, nothing to write)
-    lake.write_gold(gold.country_wise(s, role), lake_root, f"country_wise_{role}")
-    # level 2: G10-G12 over the level-1 union view
     name = f"player_stats_all_formats_{role}"
-    lake.write_dataset(gold.player_all_formats(gold.union_stats(s, role), role),
-                       f"{lake_root}/gold/{name}", partition_by=None)
+    # level 1: G1-G9 of the role (U1-U3 are views over silver, nothing to
+    # write); level 2: G10-G12 over the level-1 union view.  Both only read
+    # silver, so the two jobs run side by side.
+    jobs = [
+        lambda: lake.write_gold(gold.country_wise(s, role), lake_root, f"country_wise_{role}"),
+        lambda: lake.write_dataset(gold.player_all_formats(gold.union_stats(s, role), role),
+                                   f"{lake_root}/gold/{name}", partition_by=None),
+    ]
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for f in [pool.submit(j) for j in jobs]:
+            f.result()
     return [f"bronze/{role}", f"silver/{role}", f"gold/country_wise_{role}", f"gold/{name}"]
 
 
@@ -82,7 +89,6 @@ def refresh(spark: SparkSession, lake_root: str, raw: dict[str, DataFrame] | Non
     frames = {r: (raw[r] if raw is not None else lake.read_raw_role(spark, src, r))
               for r in roles}
     if parallel and len(roles) > 1:
-        from concurrent.futures import ThreadPoolExecutor
         with ThreadPoolExecutor(max_workers=len(roles)) as pool:
             futures = [pool.submit(_role_chain, spark, lake_root, r, frames[r]) for r in roles]
             for f in futures:
