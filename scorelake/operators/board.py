@@ -177,8 +177,8 @@ def metric_availability(rows: DataFrame, role: str) -> DataFrame:
 
 
 def _metric_values(rows: DataFrame, role: str, metrics: tuple[str, ...], fmt: str,
-                   picks: dict[str, DataFrame], limit: int | None,
-                   carry: dict[str, Column] | None = None) -> DataFrame:
+                   picks, limit: int | None, carry: dict[str, Column] | None = None,
+                   slots: DataFrame | None = None) -> DataFrame:
     """Long frame (metric, position, <pick> values...) for available metrics.
 
     Availability is over the role's rows of every format (B2); values are
@@ -186,9 +186,12 @@ def _metric_values(rows: DataFrame, role: str, metrics: tuple[str, ...], fmt: st
     ``carry`` aggregates (e.g. a country) are repeated on every row.
     """
     text = any(m in FIRST_METRICS for m in metrics)
-    flagged = rows
-    for name, pick in picks.items():
-        flagged = _flag(flagged, pick, name)
+    if slots is not None:  # a compared pair: flags "first"/"second" from one join
+        flagged = _flag_pair(rows, slots)
+    else:
+        flagged = rows
+        for name, pick in picks.items():
+            flagged = _flag(flagged, pick, name)
     in_fmt = F.col("format") == fmt
     aggs = []
     for i, m in enumerate(metrics):
@@ -226,10 +229,51 @@ def _metric_values(rows: DataFrame, role: str, metrics: tuple[str, ...], fmt: st
     return long.drop("available")
 
 
-def _player_defaults(rows, role, fmt, player, rival=None):
-    a = pick_player(rows, role, fmt, player)
-    b = pick_player(rows, role, fmt, rival, exclude=a if player is None else player)
-    return a, b
+def _slots(rows: DataFrame, role: str, fmt: str, player: str | None = None,
+           rival: str | None = None) -> DataFrame:
+    """The compared pair as at most two rows ``(full_name, first, second)``.
+
+    By default the player is rank 1 and the rival the best other one (rank
+    2), or the player again when nobody else is there.  Both come from one
+    top-2 of the ranking; the window numbers those two rows only.
+    """
+    from pyspark.sql.window import Window
+    ranked = ranked_players(rows, role, fmt).select("full_name", "value")
+    order = [_num(F.col("value")).desc(), F.col("full_name")]
+    spark = rows.sparkSession
+    if player is None and rival is None:
+        top2 = ranked.orderBy(*order).limit(2)
+        w = Window.orderBy(*order)
+        numbered = top2.select("full_name", F.row_number().over(w).alias("r"),
+                               F.count(F.lit(1)).over(Window.partitionBy()).alias("n"))
+        return numbered.select("full_name", (F.col("r") == 1).alias("first"),
+                               ((F.col("r") == 2) | (F.col("n") == 1)).alias("second"))
+    if player is None:
+        a = ranked.orderBy(*order).limit(1).select("full_name")
+    else:
+        a = spark.range(1).select(F.lit(player).alias("full_name"))
+    if rival is None:
+        # best other than the player, else the player
+        others = ranked.join(F.broadcast(a.select(F.col("full_name").alias("__a"))),
+                             F.col("full_name") == F.col("__a"), "left_anti")
+        cands = (others.orderBy(*order).limit(1).select("full_name", F.lit(0).alias("__p"))
+                 .unionByName(a.select("full_name", F.lit(1).alias("__p"))))
+        b = cands.orderBy("__p").limit(1).select("full_name")
+    else:
+        b = spark.range(1).select(F.lit(rival).alias("full_name"))
+    both = (a.select("full_name", F.lit(True).alias("first"), F.lit(False).alias("second"))
+            .unionByName(b.select("full_name", F.lit(False).alias("first"),
+                                  F.lit(True).alias("second"))))
+    return both.groupBy("full_name").agg(F.max("first").alias("first"),
+                                         F.max("second").alias("second"))
+
+
+def _flag_pair(rows: DataFrame, slots: DataFrame) -> DataFrame:
+    """Rows with boolean ``first``/``second`` columns: one broadcast join
+    with the (at most two-row) slots frame."""
+    sl = slots.select(F.col("full_name").alias("__n"), "first", "second")
+    return (rows.join(F.broadcast(sl), F.col("full_name") == F.col("__n"), "left")
+            .drop("__n").fillna(False, subset=["first", "second"]))
 
 
 def kpis(rows: DataFrame, role: str, fmt: str, player: str | None = None) -> DataFrame:
@@ -260,8 +304,9 @@ def versus(rows: DataFrame, role: str, fmt: str, player: str | None = None,
     Per metric: both values, each as % of the larger (at least 1, bars
     floored at 5) and whether the first wins (a tie goes to the second).
     """
-    a, b = _player_defaults(rows, role, fmt, player, rival)
-    vals = _metric_values(rows, role, spec(role).metrics, fmt, {"first": a, "second": b}, 5)
+    slots = _slots(rows, role, fmt, player, rival)
+    vals = _metric_values(rows, role, spec(role).metrics, fmt, ("first", "second"), 5,
+                          slots=slots)
     return _percentages(vals, floor=5.0)
 
 
@@ -280,8 +325,7 @@ def versus_by_format(rows: DataFrame, role: str, fmt: str, player: str | None =
                      rival: str | None = None) -> DataFrame:
     """Player vs rival on the primary metric in each format (all shown)."""
     primary = spec(role).primary
-    a, b = _player_defaults(rows, role, fmt, player, rival)
-    flagged = _flag(_flag(rows, a, "first"), b, "second")
+    flagged = _flag_pair(rows, _slots(rows, role, fmt, player, rival))
     aggs = []
     for i, f in enumerate(BOARD_FORMAT_ORDER):
         in_f = F.col("format") == f
@@ -403,9 +447,13 @@ def suggestions(rows: DataFrame, role: str, fmt: str, query: str = "",
 
 def default_and_rival(rows: DataFrame, role: str, fmt: str) -> DataFrame:
     """The default player and the default comparison player."""
-    a, b = _player_defaults(rows, role, fmt, None)
-    return (a.select(F.lit("player").alias("slot"), "full_name")
-            .unionByName(b.select(F.lit("rival").alias("slot"), "full_name")))
+    slots = _slots(rows, role, fmt)
+    pairs = F.array(F.when(F.col("first"), F.struct(F.lit("player").alias("slot"),
+                                                    F.col("full_name").alias("full_name"))),
+                    F.when(F.col("second"), F.struct(F.lit("rival").alias("slot"),
+                                                     F.col("full_name").alias("full_name"))))
+    return (slots.select(F.explode(pairs).alias("p")).where(F.col("p").isNotNull())
+            .select("p.slot", "p.full_name"))
 
 
 def player_names(rows: DataFrame, fmt: str) -> DataFrame:
@@ -444,8 +492,7 @@ def player_header(rows: DataFrame, role: str, fmt: str, player: str | None = Non
 def compare_header(rows: DataFrame, role: str, fmt: str, player: str | None = None,
                    rival: str | None = None) -> DataFrame:
     """The country of each compared player ("Unknown" if none)."""
-    a, b = _player_defaults(rows, role, fmt, player, rival)
-    flagged = _flag(_flag(relevant(rows, fmt), a, "first"), b, "second")
+    flagged = _flag_pair(relevant(rows, fmt), _slots(rows, role, fmt, player, rival))
     one = flagged.agg(*[
         F.min(F.when(F.col(w), F.col(c))).alias(f"{w}_{c}")
         for w in ("first", "second") for c in ("full_name", "country")])
