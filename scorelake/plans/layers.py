@@ -78,6 +78,28 @@ class Scorecards:
             return gold.country_wise_format(self.country_table(d.role), d.fmt)
         return self.player_table(d.role)
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """S7 for SQL: temp views named like the source tables.
+
+        The 15 derived names and the nine per-format silver tables
+        (``batsmen_odi`` ...), each a lazy frame; a format's silver view
+        keeps that format's columns only (the DDL shape).
+        """
+        from scorelake.operators.clean import format_columns
+        from pyspark.sql import functions as F
+        names = []
+        for d in registry.DERIVED:
+            self.table(d.name).createOrReplaceTempView(prefix + d.name)
+            names.append(prefix + d.name)
+        for role in ROLES:
+            for fmt in ("ODI", "T20", "Test"):
+                cols = [F.col(f"`{c}`") for c in format_columns(role, fmt)]
+                view = f"{prefix}{role}_{fmt.lower()}"
+                (self.silver(role).where(F.col("format") == fmt).select(*cols)
+                 .createOrReplaceTempView(view))
+                names.append(view)
+        return names
+
     # ----------------------------------------------------------------- serving
     def players(self, role: str, fmt: str = "All") -> DataFrame:
         return serve.players(self.silver(role), role, fmt)

@@ -60,3 +60,13 @@ def test_json_records(smoke_cards):
     rows = serve.json_records(smoke_cards.country_stats("bowler", "ODI")).collect()
     rec = json.loads(rows[0].json)
     assert {"country", "format", "average_economy"} <= set(rec)
+
+
+def test_sql_views(spark, smoke_cards):
+    names = smoke_cards.register_views(prefix="t_")
+    assert len(names) == 24
+    a = spark.sql("SELECT sum(total_runs) FROM t_odi_batsmen_stats_country_wise").collect()[0][0]
+    b = spark.sql('SELECT sum("Runs") FROM t_batsmen_odi'.replace('"', "`")).collect()[0][0]
+    assert a == b
+    cols = spark.table("t_bowler_test").columns
+    assert "BBM" in cols and "Overs" not in cols
