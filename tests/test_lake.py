@@ -71,3 +71,13 @@ def test_schema_report_and_preview(spark, smoke_cards):
     s = smoke_cards.silver("batsmen")
     assert lake.schema_report(s, "batsmen")[:2] == ["full_name", "country"]
     assert lake.preview(s).count() == 2
+
+
+def test_write_table_lake_path_and_jdbc_check(spark, smoke_cards):
+    import pytest
+    root = f"{spark.conf.get('spark.checkpoint.dir')}/lake-{uuid.uuid4().hex}"
+    s = smoke_cards.silver("fielder")
+    lake.write_table(s, root, "fielder_silver")
+    assert spark.read.parquet(f"{root}/fielder_silver").count() == s.count()
+    with pytest.raises(ValueError):
+        lake.write_table(s, "jdbc:postgresql://unused/db")  # no table name: refused before any IO
