@@ -7,8 +7,15 @@ inventory; ``oracle_sql`` holds the same computation as DuckDB SQL.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+# importable when the driver loads this file by path
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
