@@ -517,3 +517,16 @@ def _refresh_all(spark, d):
     root = _scratch_lake(spark)
     refresh(spark, root, raw=land_fixture(spark, d, root))
     return Scorecards.from_lake(spark, root).rankings("bowler")
+
+
+# ============================== text operators, if their subpackage is there
+try:
+    import corpus_pipeline
+    from scorelake.llm import queries as _llm
+except ModuleNotFoundError:
+    pass
+else:
+    _SPARK.update(_llm.QUERIES, pipeline=corpus_pipeline.run)
+    _SQL.update(_llm.SQL)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        _SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
