@@ -53,29 +53,37 @@ LABELLERS = (
     ("letters", "non_letter_share", 0.12, 0.25),
     ("same_lines", "same_line_share", 0.15, 0.5),
     ("word_length", "word_length_off", 3.0, 6.0),
+    ("same_words", "same_word_share", 0.05, 0.3),
+    ("echoes", "echo_share", 0.15, 0.45),
 )
+#: Shares are taken of at least so many characters or words: in a short text, one odd thing is no pattern.
+LEAST_CHARS, LEAST_WORDS = 200, 30
+#: Labellers see one kind of junk each and seldom raise false alarms: what the model may at most believe of a
+#: bad vote on a good document, and at least of a good vote on a bad one. Else rare kinds of junk count as good.
+FALSE_BAD, FALSE_GOOD = 0.002, 0.7
+#: How far back a word is compared with earlier ones.
+LAGS = 4
 
 
 def features(block: Block) -> dict[str, np.ndarray]:
     """Per row the numbers that the labellers look at (0 where a row has no words)."""
     data, off = block.bytes, block.offsets
-    starts, ends, first = block.words(NOT_SPACE)
-    words = np.maximum(np.diff(first), 1)
-
-    def share(flag: np.ndarray, of: np.ndarray) -> np.ndarray:
-        total = np.concatenate(([0], np.cumsum(flag)))
-        return (total[off[1:]] - total[off[:-1]]) / np.maximum(of, 1)
+    hashes, starts, ends, first = block.word_hashes(NOT_SPACE)
+    words = np.maximum(np.diff(first), LEAST_WORDS)
+    lag = word_lags(hashes, first)
 
     def count(flag: np.ndarray) -> np.ndarray:
-        return share(flag, np.ones(block.rows))
+        total = np.concatenate(([0], np.cumsum(flag)))
+        return total[off[1:]] - total[off[:-1]]
 
     visible = count(~ASCII_SPACE[data])
     letters = count(_LETTER[data])
+    others = visible - letters - count(_SHAPE[data] == ord("0"))
     odd = ~_PLAIN[data]
     odd_total = np.concatenate(([0], np.cumsum(odd)))
     odd_word = (odd_total[ends] - odd_total[starts]) > 0
     rows = row_of(first)
-    length = np.bincount(rows, ends - starts, block.rows) / words
+    length = np.bincount(rows, ends - starts, block.rows) / np.maximum(np.diff(first), 1)
     same = np.zeros(block.rows)
     line_end = data == 0x0A
     many = np.flatnonzero(count(line_end) >= 3)
@@ -83,16 +91,30 @@ def features(block: Block) -> dict[str, np.ndarray]:
         lines = [x for x in data[off[r]:off[r + 1]].tobytes().split(b"\n") if x.strip()]
         same[r] = 1 - len(set(lines)) / max(len(lines), 1)
     return {
-        "symbol_share": share(odd, visible), "capital_share": count(_SHAPE[data] == ord("A")) / np.maximum(letters, 1),
+        "symbol_share": count(odd) / np.maximum(visible, LEAST_CHARS),
+        "capital_share": count(_SHAPE[data] == ord("A")) / np.maximum(letters, LEAST_CHARS),
         "shouts_per_word": count(data == ord("!")) / words,
         "odd_word_share": np.bincount(rows[odd_word], minlength=block.rows) / words,
         "bars_per_word": count(data == ord("|")) / words,
-        "non_letter_share": 1 - letters / np.maximum(visible, 1),
-        "same_line_share": same, "word_length_off": np.abs(length - 5.5),
+        "non_letter_share": others / np.maximum(visible, LEAST_CHARS),
+        "same_line_share": same,
+        "word_length_off": np.abs(length - 5.5) * np.minimum(1, np.diff(first) / LEAST_WORDS),
+        "same_word_share": np.bincount(rows[lag == 1], minlength=block.rows) / words,
+        "echo_share": np.bincount(rows[lag > 0], minlength=block.rows) / words,
         "words": np.diff(first),
     }
 
 
+def word_lags(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """How many words back the same word last stood in its row (0: not among the last LAGS)."""
+    out = np.zeros(len(hashes), np.int64)
+    place = np.arange(len(hashes)) - np.repeat(first[:-1], np.diff(first))
+    for lag in range(LAGS, 0, -1):
+        same = np.flatnonzero(hashes[lag:] == hashes[:-lag]) + lag
+        out[same[place[same] >= lag]] = lag
+    return out
+
+
 def votes(block: Block) -> np.ndarray:
     """rows x labellers of GOOD, BAD or ABSTAIN; a row without words is BAD throughout."""
     have = features(block)
@@ -126,10 +148,10 @@ class LabelModel:
         return 1 / (1 + np.exp(np.clip(log[0] - log[1], -50, 50)))
 
 
-def fit_labels(vote: np.ndarray, weight: np.ndarray, rounds: int = 100) -> LabelModel:
-    """Expectation-maximisation over vote patterns with their counts, from the majority vote."""
-    tally = vote.sum(1)
-    p = np.where((vote == BAD).any(1), np.where(tally >= 5, 0.6, 0.1), 0.95)
+def fit_labels(vote: np.ndarray, weight: np.ndarray, rounds: int = 100,
+               false_bad: float = FALSE_BAD, false_good: float = FALSE_GOOD) -> LabelModel:
+    """Expectation-maximisation over vote patterns with their counts, from the number of bad votes."""
+    p = np.array([0.97, 0.5, 0.05])[np.minimum((vote == BAD).sum(1), 2)]
     model = LabelModel(0.5, np.full((2, vote.shape[1], 3), 1 / 3))
     for _ in range(rounds):
         total = weight.sum()
@@ -138,6 +160,8 @@ def fit_labels(vote: np.ndarray, weight: np.ndarray, rounds: int = 100) -> Label
             for v in (-1, 0, 1):
                 model.table[c, :, v + 1] = ((vote == v) * mass[:, None]).sum(0) + 1.0
             model.table[c] /= model.table[c].sum(1, keepdims=True)
+        model.table[1, :, 0] = np.minimum(model.table[1, :, 0], false_bad)
+        model.table[0, :, 2] = np.maximum(model.table[0, :, 2], false_good)
         new = model.posterior(vote)
         if np.abs(new - p).max() < 1e-6:
             break
@@ -146,15 +170,21 @@ def fit_labels(vote: np.ndarray, weight: np.ndarray, rounds: int = 100) -> Label
 
 
 def shape_dims(block: Block):
-    """(dimension of each shape trigram, its row): the hashed features of a batch."""
+    """(dimension of each feature, its row): hashed shape trigrams and word lags of a batch."""
     shape = _SHAPE[block.bytes].astype(np.uint32)
     code = (shape[:-2] << np.uint32(16)) | (shape[1:-1] << np.uint32(8)) | shape[2:]
-    dim = ((code.astype(U64) * U64(0x9E3779B97F4A7C15)) >> U64(52)).astype(np.int64) % DIMENSIONS
+    hashes, _, _, first = block.word_hashes(NOT_SPACE)
+    lag = word_lags(hashes, first).astype(np.uint32) + np.uint32(1 << 24)
+    dim = _hashed(code)
     at = np.arange(len(dim))
     end = np.repeat(block.offsets[1:], np.diff(block.offsets))[:len(dim)]
     inside = at + 3 <= end
     row = np.repeat(np.arange(block.rows), np.diff(block.offsets))[:len(dim)]
-    return dim[inside], row[inside]
+    return np.concatenate((dim[inside], _hashed(lag))), np.concatenate((row[inside], row_of(first)))
+
+
+def _hashed(code: np.ndarray) -> np.ndarray:
+    return ((code.astype(U64) * U64(0x9E3779B97F4A7C15)) >> U64(52)).astype(np.int64) % DIMENSIONS
 
 
 @dataclass

@@ -71,7 +71,8 @@ def blocks(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     none = np.zeros(0, np.int64)
     if len(data) < length:
         return none, none, none, none, none
-    low, have, width = hashes.grams(gram), 1, length - gram + 1
+    grams = hashes.grams(gram)
+    low, have, width = grams, 1, length - gram + 1
     while have < width:
         step = min(have, width - have)
         low = np.minimum(low[:-step], low[step:])
@@ -80,10 +81,11 @@ def blocks(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     at = np.flatnonzero(np.arange(len(low)) + length <= end)
     if not len(at):
         return none, none, none, none, none
-    low = low[at]
+    low, grams = low[at], grams[at]
     row = np.searchsorted(offsets, at, side="right") - 1
     new = np.ones(len(at), bool)
-    new[1:] = (low[1:] != low[:-1]) | (row[1:] != row[:-1])
+    # a window takes the leftmost of equal grams, so a window that starts with its anchor is the anchor's last
+    new[1:] = (low[1:] != low[:-1]) | (row[1:] != row[:-1]) | (grams[:-1] == low[:-1])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(at)) - 1
     start, stop = at[first], at[last] + length
