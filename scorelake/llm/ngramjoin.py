@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorelake.llm.store import map_batches, stored
+from scorelake.llm.store import map_arrow, map_batches, stored
 from scorelake.llm.textblock import NOT_SPACE, U64, WORD_BASE, Block, mix64, slices, window_hashes
 
 WIDTH = 5
@@ -106,8 +106,8 @@ def _sign(a: np.ndarray, band: int, partner: int) -> np.ndarray:
 
 # ---------------------------------------------------------------------- sketch
 def sketch(a: np.ndarray) -> bytes:
-    """Parity of the elements per slot, in at least two slots per element."""
-    slots = max(64, 1 << (2 * max(len(a), 1) - 1).bit_length())
+    """Parity of the elements per slot, in at least four slots per element."""
+    slots = max(64, 1 << (4 * max(len(a), 1) - 1).bit_length())
     odd = np.bincount((a & U64(slots - 1)).astype(np.int64), minlength=slots) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -201,7 +201,7 @@ def _runs(frame: DataFrame, fn, schema: str) -> DataFrame:
         if held is not None and held.num_rows:
             yield from fn(held)
 
-    return frame.mapInArrow(run, schema)
+    return map_arrow(frame, run, schema)
 
 
 def _by_signature(frame: DataFrame, *order) -> DataFrame:

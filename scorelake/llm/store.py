@@ -4,10 +4,24 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+
+PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+              schema) -> DataFrame:
+    """``mapInArrow`` whose workers find this package even where the session began elsewhere.
+
+    Executors on other machines need the package installed, as with any library."""
+    env = df.sparkSession.sparkContext.environment
+    if PACKAGE_ROOT not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(filter(None, [env.get("PYTHONPATH"), PACKAGE_ROOT]))
+    return df.mapInArrow(fn, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,9 +68,4 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
                 if out is not None and out.num_rows:
                     yield out
 
-    return df.mapInArrow(run, schema)
-
-
-def same_key(a: str, b: str):
-    """Null-safe equality of two columns by name, for joins on keys that may be null."""
-    return F.col(a).eqNullSafe(F.col(b))
+    return map_arrow(df, run, schema)

@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorelake.llm.store import map_batches, stored
+from scorelake.llm.store import map_arrow, map_batches, stored
 from scorelake.llm.textblock import BYTE_BASE, U64, Block, inverse, mix64, powers
 
 LENGTH = 100
@@ -171,7 +171,7 @@ def _whole_runs(batches: Iterator[pa.RecordBatch], fn) -> Iterator[pa.RecordBatc
 def _sorted_runs(frame: DataFrame, key: str, fn, schema: str, *order: str) -> DataFrame:
     n = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = frame.repartition(n, key).sortWithinPartitions(key, *order)
-    return dealt.mapInArrow(lambda batches: _whole_runs(batches, fn), schema)
+    return map_arrow(dealt, lambda batches: _whole_runs(batches, fn), schema)
 
 
 def _settle(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
