@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,18 +55,65 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Batches hold at most so many bytes (or one row): what a task keeps in memory follows the longest row.
+BATCH_BYTES = 2 << 20
+
+
+def parts(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most ``rows`` rows and about ``BATCH_BYTES`` bytes."""
+    at = 0
+    while at < batch.num_rows:
+        part = batch.slice(at, rows)
+        while part.num_rows > 1 and part.nbytes > BATCH_BYTES:
+            part = part.slice(0, part.num_rows // 2)
+        at += part.num_rows
+        yield part
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str,
                 rows: int = 1000, state: Callable[[], object] | None = None) -> DataFrame:
-    """Apply ``fn`` to Arrow batches of at most ``rows`` rows; with ``state``, ``fn(batch, state())``
-    shares one state object per task."""
+    """Apply ``fn`` to slices of Arrow batches; with ``state``, ``fn(slice, state())`` shares one state
+    object per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = state() if state else None
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                part = batch.slice(at, rows)
+            for part in parts(batch, rows):
                 out = fn(part, held) if state else fn(part)
                 if out is not None and out.num_rows:
                     yield out
 
     return map_arrow(df, run, schema)
+
+
+def map_counts(df: DataFrame, fn: Callable[[pa.RecordBatch], np.ndarray], name: str, held: int = 1 << 20) -> DataFrame:
+    """(``name``, n): how often ``fn`` gives each number, summed within the task while at most about
+    ``held`` numbers are kept, and not yet over tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, waiting = [], [], 0
+        for batch in batches:
+            for part in parts(batch, 1000):
+                key, n = np.unique(fn(part), return_counts=True)
+                keys.append(key)
+                counts.append(n)
+                waiting += len(key)
+                if waiting > 2 * held:
+                    keys, counts = _summed(keys, counts)
+                    waiting = len(keys[0])
+                    if waiting > held:
+                        yield pa.RecordBatch.from_arrays([pa.array(keys[0]), pa.array(counts[0])], [name, "n"])
+                        keys, counts, waiting = [], [], 0
+        if keys:
+            keys, counts = _summed(keys, counts)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[0]), pa.array(counts[0])], [name, "n"])
+
+    return map_arrow(df, run, f"{name} long, n long")
+
+
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    key, n = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(key), 1), bool), key[1:] != key[:-1])))
+    return [key[first]], [np.add.reduceat(n, first) if len(first) else n]
