@@ -123,9 +123,8 @@ def _safe_cast(spark, d):
     "ON a.format = b.format", ["fielder"], silver=False))
 def _dedup(spark, d):
     raw = _sc(spark, d).raw("fielder")
-    n = raw.groupBy("format").agg(F.count(F.lit(1)).alias("n_rows"))
-    m = raw.distinct().groupBy("format").agg(F.count(F.lit(1)).alias("n_distinct"))
-    return n.join(m, "format")
+    once = raw.groupBy(*[F.col(f"`{c}`") for c in raw.columns]).agg(F.count(F.lit(1)).alias("__n"))
+    return once.groupBy("format").agg(F.sum("__n").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct"))
 
 
 # ============================================================ unions
@@ -500,23 +499,50 @@ def _scratch_lake(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark)}/lake-{uuid.uuid4().hex}"
 
 
-@_reg("lake_roundtrip")
+@_reg("lake_roundtrip", O.with_roles(
+    "SELECT * FROM raw_batsmen WHERE format = 'T20'", ["batsmen"], silver=False))
 def _lake_roundtrip(spark, d):
     """Bronze write of the raw batting frame and its pruned read-back."""
     from scorelake.sources import lake
     root = _scratch_lake(spark)
-    lake.write_bronze(_sc(spark, d).raw("batsmen"), root, "batsmen")
-    return lake.read_bronze(spark, root, "batsmen", "T20")
+    raw = _sc(spark, d).raw("batsmen")
+    lake.write_bronze(raw, root, "batsmen")
+    return lake.read_bronze(spark, root, "batsmen", "T20").select(*raw.columns)
 
 
-@_reg("refresh_all")
+@_reg("refresh_all", O.with_roles(
+    " UNION ALL BY NAME ".join(f"SELECT '{t}_{r}' AS table_name, * FROM {t}_{r}"
+                               for r in ROLES for t in ("cw", "pt")), list(ROLES),
+    extra=",\n".join(f(r) for r in ROLES for f in (O.country_wise_cte, O.player_table_cte))))
 def _refresh_all(spark, d):
-    """The whole batch into a lake, then a serving query on it."""
-    from scorelake.plans.refresh import refresh
-    from scorelake.plans.refresh import land_fixture
+    """The whole batch into a lake, then all six stored gold datasets, tagged."""
+    from scorelake.plans.refresh import land_fixture, refresh
     root = _scratch_lake(spark)
     refresh(spark, root, raw=land_fixture(spark, d, root))
-    return Scorecards.from_lake(spark, root).rankings("bowler")
+    cards, out = Scorecards.from_lake(spark, root), None
+    for r in ROLES:
+        for tag, df in (("cw", cards.country_table(r)), ("pt", cards.player_table(r))):
+            df = df.select(F.lit(f"{tag}_{r}").alias("table_name"), "*")
+            out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
+
+
+def _csv_silver(spark, d, role):
+    """The raw cards as CSV folders with an index column, read back and cleaned."""
+    from scorelake.operators.clean import clean
+    from scorelake.sources import lake
+    root = _scratch_lake(spark)
+    cards = fixture.scorecards(spark, d)
+    for fmt in FORMATS:
+        raw = fixture.format_raw(cards, role, fmt)
+        raw.select(F.lit("0").alias("Unnamed: 0"), "*").write.option("header", True).csv(
+            f"{root}/{lake.RAW_FILES[(role, fmt)]}")
+    return clean(lake.read_raw_role(spark, root, role), role)
+
+
+for _role in ROLES:
+    _reg(f"csv_silver_{_role}", O.with_roles(f"SELECT * FROM silver_{_role}", [_role]))(
+        lambda spark, d, r=_role: _csv_silver(spark, d, r))
 
 
 # ============================== text operators, if their subpackage is there

@@ -85,6 +85,7 @@ def metric_agg(metric: str, cond: Column | None = None) -> Column:
     if metric in MAX_METRICS:
         return F.max(c)
     if metric in FIRST_METRICS:
+        c = F.nullif(c, F.lit(""))  # an empty text is no value
         first = F.min(F.when(c.isNotNull(), F.struct(_format_rank(LOAD_FORMAT_ORDER).alias("o"),
                                                      c.alias("v"))))
         return first.getField("v")
@@ -432,8 +433,9 @@ def suggestions(rows: DataFrame, role: str, fmt: str, query: str = "",
     pick unless ``exclude`` names one), as the compare box does.
     """
     ranked = ranked_players(rows, role, fmt)
+    query = query.strip().lower()
     if query:
-        ranked = ranked.where(F.lower(F.col("full_name")).contains(query.lower()))
+        ranked = ranked.where(F.lower(F.col("full_name")).contains(query))
     if exclude_selected or exclude is not None:
         sel = pick_player(rows, role, fmt, exclude)
         ranked = ranked.join(F.broadcast(sel.select(F.col("full_name").alias("__sel"))),

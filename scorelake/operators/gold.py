@@ -84,22 +84,16 @@ def country_wise_format(table: DataFrame, fmt: str) -> DataFrame:
 
 
 def positive_mean(c: str) -> Column:
-    """Mean of the positive values only; none positive -> NULL; 2 dp.
-
-    ``sum(CASE WHEN x > 0 THEN x ELSE 0 END) / NULLIF(count(CASE WHEN x > 0
-    THEN 1 END), 0)``: zeros and NULLs are left out of the mean.
-    """
-    x = F.col(c)
-    total = F.sum(F.when(x > 0, x).otherwise(F.lit(0)))
-    n = F.count(F.when(x > 0, F.lit(1)))
-    return round_half_up(total / F.nullif(n, F.lit(0)))
+    """Mean of the positive values only; none positive -> NULL; 2 dp."""
+    return round_half_up(F.avg(F.when(F.col(c) > 0, F.col(c))))
 
 
 def format_list(formats: tuple[str, ...] = FORMATS) -> Column:
     """Sorted list of the group's formats, one entry per row (array_agg).
 
     Built from one counter per format, so the aggregation buffer has a
-    fixed size whatever the group's row count.
+    fixed size whatever the group's row count; the value itself has an entry
+    per row of the group, as the source's has.
     """
     parts = [
         F.array_repeat(F.lit(f), F.sum(F.when(F.col("format") == f, 1).otherwise(0)).cast("int"))

@@ -89,11 +89,11 @@ def countries(spark: SparkSession) -> DataFrame:
 
 
 def json_records(df: DataFrame) -> DataFrame:
-    """One JSON object per row; decimals are written as floats."""
+    """One JSON object per row, every key (NULL as null); decimals are written as floats."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if f.dataType.typeName() == "decimal":
             c = c.cast("double")
         cols.append(c.alias(f.name))
-    return df.select(F.to_json(F.struct(*cols)).alias("json"))
+    return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("json"))

@@ -11,12 +11,13 @@ from Parquet instead of being recomputed.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scorelake.operators import board, gold, serve
-from scorelake.operators.clean import clean
+from scorelake.operators.clean import clean, format_columns
 from scorelake.plans import registry
 from scorelake.sources import fixture, lake
-from scorelake.specs import ROLES, spec
+from scorelake.specs import ALL, FORMATS, ROLES, spec
 
 
 class Scorecards:
@@ -24,7 +25,9 @@ class Scorecards:
                  lake_root: str | None = None):
         self.spark = spark
         self._raw = raw or {}
-        self._lake = lake_root
+        # the version of each role is looked up once: a reader keeps to it while newer ones are published
+        self._lake = {r: lake.version_root(lake_root, v[0]) for r, v in
+                      lake.published(spark, lake_root).items()} if lake_root else {}
         self._silver: dict[str, DataFrame] = {}
 
     # ---------------------------------------------------------------- builders
@@ -48,8 +51,8 @@ class Scorecards:
     def silver(self, role: str) -> DataFrame:
         role = spec(role).name
         if role not in self._silver:
-            if self._lake:
-                self._silver[role] = lake.read_silver(self.spark, self._lake, role)
+            if role in self._lake:
+                self._silver[role] = lake.read_silver(self.spark, self._lake[role], role)
             else:
                 self._silver[role] = clean(self.raw(role), role)
         return self._silver[role]
@@ -59,16 +62,22 @@ class Scorecards:
 
     def country_table(self, role: str) -> DataFrame:
         """G1-G9 of a role as one frame (all formats)."""
-        if self._lake:
-            return lake.read_gold(self.spark, self._lake, f"country_wise_{role}")
+        if role in self._lake:
+            return self._gold(role, f"country_wise_{role}")
         return gold.country_wise(self.silver(role), role)
 
     def player_table(self, role: str) -> DataFrame:
         """G10-G12."""
-        if self._lake:
-            return lake.read_gold(self.spark, self._lake, f"player_stats_all_formats_{role}")
+        if role in self._lake:
+            return self._gold(role, f"player_stats_all_formats_{role}")
         return gold.player_all_formats(self.union(role), role)
 
+    def _gold(self, role: str, name: str) -> DataFrame:
+        """A stored gold table, opened with the schema that its builder gives."""
+        silver = self.spark.createDataFrame([], lake.silver_schema(role))
+        schema = dict(registry.stored_order(role))[f"gold/{name}"](silver).schema
+        return lake.read_gold(self.spark, self._lake[role], name, schema)
+
     def table(self, name: str) -> DataFrame:
         """Full read of a derived table by its name."""
         d = registry.BY_NAME[name]
@@ -85,26 +94,31 @@ class Scorecards:
         (``batsmen_odi`` ...), each a lazy frame; a format's silver view
         keeps that format's columns only (the DDL shape).
         """
-        from scorelake.operators.clean import format_columns
-        from pyspark.sql import functions as F
         names = []
+        for name, df in self.named_tables():
+            df.createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
+    def named_tables(self, roles=ROLES):
+        """(name, frame) of the derived and the per-format silver tables of these roles."""
         for d in registry.DERIVED:
-            self.table(d.name).createOrReplaceTempView(prefix + d.name)
-            names.append(prefix + d.name)
-        for role in ROLES:
-            for fmt in ("ODI", "T20", "Test"):
+            if d.role in roles:
+                yield d.name, self.table(d.name)
+        for role in roles:
+            for fmt in FORMATS:
                 cols = [F.col(f"`{c}`") for c in format_columns(role, fmt)]
-                view = f"{prefix}{role}_{fmt.lower()}"
-                (self.silver(role).where(F.col("format") == fmt).select(*cols)
-                 .createOrReplaceTempView(view))
-                names.append(view)
-        return names
+                yield f"{role}_{fmt.lower()}", self.silver(role).where(F.col("format") == fmt).select(*cols)
 
     # ----------------------------------------------------------------- serving
     def players(self, role: str, fmt: str = "All") -> DataFrame:
         return serve.players(self.silver(role), role, fmt)
 
     def country_stats(self, role: str, fmt: str = "All", country: str | None = None):
+        role = spec(role).name
+        if fmt == ALL and role in self._lake:  # G13-G15 as stored by the refresh
+            out = self._gold(role, f"country_all_{role}")
+            return out.where(F.col("country") == F.lit(country)) if country else out
         return serve.country_stats(self.country_table(role), role, fmt, country)
 
     def rankings(self, role: str) -> DataFrame:

@@ -6,18 +6,23 @@ rebuilds the gold tables in dependency order (S5, S6).  Each layer is
 written once and the next one reads the written Parquet back, so lineage
 is cut at every layer and a lost executor only re-runs the current stage.
 
-Per role: one bronze write (all formats, partitioned by format), one silver
-job (one scan, one de-duplication shuffle) and one job per gold table.
+A refresh writes a new version beside the one that serves and publishes it
+last, role by role, after every role has been written: inputs are analysed
+before anything is written, a failed run leaves the lake as it was, readers
+never meet a gap, and roles that are not refreshed keep their version.
+Versions that no role uses any more are dropped after publishing (S5).
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from scorelake.operators import gold
 from scorelake.operators.clean import clean
 from scorelake.plans import registry
 from scorelake.sources import lake
@@ -27,75 +32,61 @@ from scorelake.specs import ROLES
 @dataclass
 class RefreshReport:
     lake_root: str
+    version: str = ""
     written: list[str] = field(default_factory=list)
     dropped: list[str] = field(default_factory=list)
 
 
-def drop_stale(spark: SparkSession, lake_root: str, report: RefreshReport) -> None:
-    """Remove derived datasets, dependants first.
-
-    Unlike the source, failures are not swallowed.  Views (the all-format
-    unions) have nothing stored.
-    """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    seen = set()
-    for d in registry.drop_order():
-        if d.kind == "union" or d.physical in seen:
-            continue
-        seen.add(d.physical)
-        path = jvm.org.apache.hadoop.fs.Path(f"{lake_root}/{d.physical}")
-        fs = path.getFileSystem(conf)
-        if fs.exists(path):
-            fs.delete(path, True)
-            report.dropped.append(d.physical)
-
-
-def _role_chain(spark: SparkSession, lake_root: str, role: str, frame: DataFrame) -> list[str]:
+def _role_chain(spark: SparkSession, root: str, role: str, frame: DataFrame) -> list[str]:
     """bronze -> silver -> gold of one role, each layer read back from Parquet."""
-    lake.write_bronze(frame, lake_root, role)  # S2
-    silver = clean(lake.read_bronze(spark, lake_root, role), role)  # S3, C*
-    lake.write_silver(silver, lake_root, role)  # S4
-    s = lake.read_silver(spark, lake_root, role)
-    name = f"player_stats_all_formats_{role}"
-    # level 1: G1-G9 of the role (U1-U3 are views over silver, nothing to
-    # write); level 2: G10-G12 over the level-1 union view.  Both only read
-    # silver, so the two jobs run side by side.
-    jobs = [
-        lambda: lake.write_gold(gold.country_wise(s, role), lake_root, f"country_wise_{role}"),
-        lambda: lake.write_dataset(gold.player_all_formats(gold.union_stats(s, role), role),
-                                   f"{lake_root}/gold/{name}", partition_by=None),
-    ]
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        for f in [pool.submit(j) for j in jobs]:
-            f.result()
-    return [f"bronze/{role}", f"silver/{role}", f"gold/country_wise_{role}", f"gold/{name}"]
+    lake.write_bronze(frame, root, role)  # S2
+    lake.write_silver(clean(lake.read_bronze(spark, root, role), role), root, role)  # S3, C*, S4
+    silver = lake.read_silver(spark, root, role)
+    jobs = [(name, build(silver)) for name, build in registry.stored_order(role)]
+    _all_of(spark, [lambda n=name, df=df: lake.write_dataset(df, f"{root}/{n}") for name, df in jobs])
+    return [f"bronze/{role}", f"silver/{role}", *[name for name, _ in jobs]]
+
+
+def _all_of(spark: SparkSession, jobs: list) -> list:
+    """Run jobs side by side (their job properties follow them); the first failure drops those not begun."""
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        try:
+            return [f.result() for f in futures]
+        except BaseException:
+            for f in futures:
+                f.cancel()
+            raise
 
 
 def refresh(spark: SparkSession, lake_root: str, raw: dict[str, DataFrame] | None = None,
-            src: str | None = None, roles=ROLES, drop_first: bool = True,
-            parallel: bool = True) -> RefreshReport:
-    """S1-S6 for the given roles; returns what was written.
+            src: str | None = None, roles=ROLES, parallel: bool = True, keep: int = 1,
+            table_target: str | None = None, table_options: dict[str, str] | None = None) -> RefreshReport:
+    """S1-S6 for the given roles; returns what was written and dropped.
 
     The dependency order of the derived tables only links tables of the same
-    role, so the three role chains are independent Spark jobs; they are
-    submitted concurrently (one driver thread each) and share the cluster.
+    role, so the role chains are independent Spark jobs; they are submitted
+    concurrently (one driver thread each) and share the cluster.  ``keep``
+    versions of a role stay; ``table_target`` (a ``jdbc:`` URL or a path)
+    also gets every silver and derived table under its own name (S4).
     """
     if (raw is None) == (src is None):
         raise ValueError("give exactly one of raw= or src=")
-    report = RefreshReport(lake_root)
-    if drop_first:
-        drop_stale(spark, lake_root, report)
-    frames = {r: (raw[r] if raw is not None else lake.read_raw_role(spark, src, r))
-              for r in roles}
-    if parallel and len(roles) > 1:
-        with ThreadPoolExecutor(max_workers=len(roles)) as pool:
-            futures = [pool.submit(_role_chain, spark, lake_root, r, frames[r]) for r in roles]
-            for f in futures:
-                report.written.extend(f.result())
-    else:
-        for r in roles:
-            report.written.extend(_role_chain(spark, lake_root, r, frames[r]))
+    frames = {r: (raw[r] if raw is not None else lake.read_raw_role(spark, src, r)) for r in roles}
+    for r, frame in frames.items():
+        clean(frame, r).schema  # all inputs are opened and analysed before anything is written
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    report = RefreshReport(lake_root, version)
+    root = lake.version_root(lake_root, version)
+    chains = [lambda r=r: _role_chain(spark, root, r, frames[r]) for r in roles]
+    for names in (_all_of(spark, chains) if parallel else [c() for c in chains]):
+        report.written.extend(names)
+    lake.publish(spark, lake_root, version, roles)
+    if table_target is not None:
+        from scorelake.plans.layers import Scorecards
+        for name, df in Scorecards.from_lake(spark, lake_root).named_tables(roles):
+            lake.write_table(df, table_target, name, table_options)
+    report.dropped = lake.drop_versions(spark, lake_root, keep)
     return report
 
 

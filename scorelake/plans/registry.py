@@ -13,7 +13,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame
 
-from scorelake.operators import gold
+from scorelake.operators import gold, serve
 from scorelake.specs import FORMATS, ROLES
 
 
@@ -52,20 +52,19 @@ def refresh_order() -> list[Derived]:
     return sorted(DERIVED, key=lambda d: d.level)
 
 
-def drop_order() -> list[Derived]:
-    """Dependants first."""
-    return sorted(DERIVED, key=lambda d: -d.level)
-
-
-def build(d: Derived, silver: Callable[[str], DataFrame],
-          country_table: Callable[[str], DataFrame] | None = None,
-          union: Callable[[str], DataFrame] | None = None) -> DataFrame:
-    """The DataFrame of a derived name, from its inputs."""
-    if d.kind == "union":
-        return gold.union_stats(silver(d.role), d.role)
-    if d.kind == "country":
-        table = country_table(d.role) if country_table else gold.country_wise(silver(d.role),
-                                                                               d.role)
-        return gold.country_wise_format(table, d.fmt)
-    u = union(d.role) if union else gold.union_stats(silver(d.role), d.role)
-    return gold.player_all_formats(u, d.role)
+def stored_order(role: str) -> list[tuple[str, Callable[[DataFrame], DataFrame]]]:
+    """The stored gold datasets of a role in dependency order, each with its builder over silver.
+
+    Unions are views over silver and are not stored; the per-format country tables share one dataset,
+    whose "All" rollup (G13-G15) is stored beside it.
+    """
+    out: dict[str, Callable[[DataFrame], DataFrame]] = {}
+    for d in refresh_order():
+        if d.role != role or d.kind == "union":
+            continue
+        if d.kind == "country":
+            out.setdefault(d.physical, lambda silver: gold.country_wise(silver, role))
+        else:
+            out[d.physical] = lambda silver: gold.player_all_formats(gold.union_stats(silver, role), role)
+    out[f"gold/country_all_{role}"] = lambda silver: serve.country_stats(gold.country_wise(silver, role), role)
+    return list(out.items())

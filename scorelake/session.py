@@ -7,7 +7,6 @@ there; ``checkpoint_dir`` only fills it in when it is unset (tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -34,12 +33,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a scratch one only where unset."""
+    """The shared checkpoint folder, as configured.
+
+    Only a local session, whose one process reads what it writes, gets a scratch folder where none is
+    set; on any other master an unset folder is an error.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="scorelake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    path = f"file://{tempfile.mkdtemp(prefix='scorelake-ckpt-')}"
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
     return path

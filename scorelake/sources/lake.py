@@ -8,6 +8,8 @@ cluster)::
     gold/country_wise_<role>/format=<fmt>/
     gold/player_stats_all_formats_<role>/
 
+``refresh`` writes a whole tree of this layout per version, under
+``versions/<version>/``, and ``_published`` says which version serves a role.
 Role datasets are partitioned by format, so a per-format read prunes to one
 directory (``PartitionFilters``) and a role-wide read is one scan.  A write
 can replace only the partitions present in the frame
@@ -17,6 +19,8 @@ others.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,21 +43,23 @@ RAW_FILES = {
 # --- end of fixed values ----------------------------------------------------
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a CSV file from its header line only (no inference)."""
-    return spark.read.option("header", True).csv(path).limit(0).columns
-
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A raw CSV file or folder with headers, every column as text (no inference pass).
 
-def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """A raw CSV with header, every column as text (no inference pass).
-
-    Schema inference costs a full extra job per file and can type a column
-    differently from batch to batch (``12.3`` overs as double); the silver
-    step casts leniently instead.
+    Columns bind by name: files of a folder whose headers differ are read apart and united by name.
+    Schema inference would cost a full extra job per file and can type a column differently from
+    batch to batch (``12.3`` overs as double); the silver step casts leniently instead.
     """
-    cols = columns or _header(spark, path)
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(map(unquote, spark.read.text(path).inputFiles())):  # listed as URIs
+        by_header.setdefault(tuple(spark.read.option("header", True).csv(file).columns), []).append(file)
+    frames = [spark.read.option("header", True).csv(files) for files in by_header.values()]
+    if not frames:
+        raise ValueError(f"no CSV file under {path}")
+    out = frames[0]
+    for df in frames[1:]:
+        out = out.unionByName(df, allowMissingColumns=True)
+    return out
 
 
 def read_raw_role(spark: SparkSession, src: str, role: str) -> DataFrame:
@@ -74,10 +80,12 @@ def write_dataset(df: DataFrame, path: str, partition_by: str | None = "format",
     otherwise the whole dataset is replaced.  The write goes through
     Spark's commit protocol: a failed or retried task leaves no output.
     """
-    w = df.write.mode("overwrite")
+    split = bool(partition_by) and partition_by in df.columns
+    # one set of files per partition value, large ones split: not a file per task and value
+    w = (df.hint("rebalance", partition_by) if split else df).write.mode("overwrite")
     if only_present_partitions:
         w = w.option("partitionOverwriteMode", "dynamic")
-    if partition_by and partition_by in df.columns:
+    if split:
         w = w.partitionBy(partition_by)
     w.parquet(path)
 
@@ -120,9 +128,13 @@ def write_silver(df: DataFrame, lake_root: str, role: str) -> None:
     write_dataset(df, f"{lake_root}/silver/{spec(role).name}")
 
 
+def silver_schema(role: str) -> T.StructType:
+    return T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in spec(role).silver))
+
+
 def read_silver(spark: SparkSession, lake_root: str, role: str) -> DataFrame:
     s = spec(role)
-    df = spark.read.parquet(f"{lake_root}/silver/{s.name}")
+    df = spark.read.schema(silver_schema(role)).parquet(f"{lake_root}/silver/{s.name}")
     return df.select(*[F.col(f"`{c}`") for c in s.silver_names])
 
 
@@ -130,8 +142,49 @@ def write_gold(df: DataFrame, lake_root: str, name: str) -> None:
     write_dataset(df, f"{lake_root}/gold/{name}")
 
 
-def read_gold(spark: SparkSession, lake_root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{lake_root}/gold/{name}")
+def read_gold(spark: SparkSession, lake_root: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+    """A gold table; with its schema given, opening it runs no job."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(f"{lake_root}/gold/{name}")
+    return df if schema is None else df.select(*schema.names)
+
+
+# ------------------------------------------------------------------- versions
+_VERSIONS = "role string, version string"
+
+
+def version_root(lake_root: str, version: str) -> str:
+    return f"{lake_root}/versions/{version}"
+
+
+def publish(spark: SparkSession, lake_root: str, version: str, roles) -> None:
+    """Make a written version the current one of these roles: one appended file, so all or none."""
+    rows = spark.createDataFrame([(r, version) for r in roles], _VERSIONS)
+    rows.coalesce(1).write.mode("append").json(f"{lake_root}/_published")
+
+
+def published(spark: SparkSession, lake_root: str) -> dict[str, list[str]]:
+    """Versions of each role, newest first (a row per refresh and role)."""
+    rows = spark.read.schema(_VERSIONS).json(f"{lake_root}/_published").collect()
+    out: dict[str, list[str]] = {}
+    for r in sorted(rows, key=lambda r: r.version, reverse=True):
+        out.setdefault(r.role, []).append(r.version)
+    return out
+
+
+def drop_versions(spark: SparkSession, lake_root: str, keep: int = 1) -> list[str]:
+    """Remove published versions that are not among the newest ``keep`` of any role."""
+    have = published(spark, lake_root)
+    used = {v for versions in have.values() for v in versions[:max(1, keep)]}
+    stale = sorted({v for versions in have.values() for v in versions} - used)
+    dropped = []
+    # Spark has no public way to delete a path; its own Hadoop client has
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for v in stale:
+        path = jvm.org.apache.hadoop.fs.Path(version_root(lake_root, v))
+        if path.getFileSystem(conf).delete(path, True):
+            dropped.append(v)
+    return dropped
 
 
 def preview(df: DataFrame, n: int = 2) -> DataFrame:
@@ -140,10 +193,14 @@ def preview(df: DataFrame, n: int = 2) -> DataFrame:
 
 
 def schema_report(df: DataFrame, role: str, fmt: str | None = None) -> list[str]:
-    """The column list, checked against the role's silver contract."""
+    """The column list, checked against the role's silver contract by name and type."""
     from scorelake.operators.clean import format_columns
     expected = format_columns(role, fmt) if fmt else list(spec(role).silver_names)
     missing = [c for c in expected if c not in df.columns]
     if missing:
         raise ValueError(f"{role}: missing silver columns {missing}")
+    want = {f.name: f.dataType for f in silver_schema(role)}
+    wrong = [f"{c}: {df.schema[c].dataType.simpleString()}" for c in expected if df.schema[c].dataType != want[c]]
+    if wrong:
+        raise ValueError(f"{role}: silver columns of another type: {wrong}")
     return df.columns

@@ -37,7 +37,7 @@ def test_csv_refresh_matches_lazy(spark, smoke_cards, tmp_path):
     _write_csvs(spark, src)
     root = f"{spark.conf.get('spark.checkpoint.dir')}/lake-{uuid.uuid4().hex}"
     report = refresh(spark, root, src=src)
-    assert len(report.written) == 12
+    assert len(report.written) == 15
     stored = Scorecards.from_lake(spark, root)
     for role in ROLES:
         assert _canon(stored.player_table(role)) == _canon(smoke_cards.player_table(role))
@@ -81,3 +81,65 @@ def test_write_table_lake_path_and_jdbc_check(spark, smoke_cards):
     assert spark.read.parquet(f"{root}/fielder_silver").count() == s.count()
     with pytest.raises(ValueError):
         lake.write_table(s, "jdbc:postgresql://unused/db")  # no table name: refused before any IO
+
+
+def _root(spark):
+    return f"{spark.conf.get('spark.checkpoint.dir')}/lake-{uuid.uuid4().hex}"
+
+
+def test_refresh_of_one_role_leaves_the_others(spark, smoke_cards):
+    root, raw = _root(spark), {r: smoke_cards.raw(r) for r in ROLES}
+    first = refresh(spark, root, raw=raw)
+    open_reader = Scorecards.from_lake(spark, root)
+    before = _canon(open_reader.rankings("bowler"))
+    again = refresh(spark, root, raw={"fielder": raw["fielder"]}, roles=("fielder",))
+    assert again.dropped == []
+    lake_now = Scorecards.from_lake(spark, root)
+    assert _canon(lake_now.rankings("bowler")) == before and lake_now.rankings("fielder").count() > 0
+    third = refresh(spark, root, raw=raw)
+    assert sorted(third.dropped) == sorted([first.version, again.version])
+    assert _canon(Scorecards.from_lake(spark, root).rankings("bowler")) == before
+
+
+def test_a_failed_refresh_leaves_the_lake_serving(spark, smoke_cards):
+    import pytest
+    root, raw = _root(spark), {r: smoke_cards.raw(r) for r in ROLES}
+    refresh(spark, root, raw=raw)
+    before = _canon(Scorecards.from_lake(spark, root).country_stats("batsmen", "All"))
+    with pytest.raises(Exception):
+        refresh(spark, root, src=f"{root}/no-such-folder")
+    broken = dict(raw, bowler=raw["bowler"].withColumn("Span", F.raise_error(F.lit("broken input"))))
+    with pytest.raises(Exception, match="broken input"):
+        refresh(spark, root, raw=broken)
+    assert _canon(Scorecards.from_lake(spark, root).country_stats("batsmen", "All")) == before
+
+
+def test_refresh_writes_every_table_to_a_target(spark, smoke_cards):
+    root = _root(spark)
+    refresh(spark, root, raw={"fielder": smoke_cards.raw("fielder")}, roles=("fielder",), table_target=f"{root}/tables")
+    cards = Scorecards.from_lake(spark, root)
+    for name in ("fielder_t20", "fielder_stats", "odi_fielder_stats_country_wise", "player_stats_all_formats_fielder"):
+        stored = spark.read.parquet(f"{root}/tables/{name}")
+        assert stored.count() > 0
+    assert stored.count() == cards.player_table("fielder").count()
+
+
+def test_csv_columns_bind_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Player,Span\nA,2000-2010\n")
+    (tmp_path / "b.csv").write_text(",Span,Player\n0,1990-1999,B\n")
+    df = lake.read_csv(spark, str(tmp_path))
+    assert sorted((r.Player, r.Span) for r in df.collect()) == [("A", "2000-2010"), ("B", "1990-1999")]
+
+
+def test_json_records_keep_null_keys(spark):
+    import json
+    from scorelake.operators import serve
+    df = spark.createDataFrame([("A B", None, 1)], "full_name string, runs int, matches int")
+    assert json.loads(serve.json_records(df).first().json) == {"full_name": "A B", "runs": None, "matches": 1}
+
+
+def test_schema_report_checks_types(spark, smoke_cards):
+    import pytest
+    s = smoke_cards.silver("batsmen")
+    with pytest.raises(ValueError, match="another type"):
+        lake.schema_report(s.withColumn("matches_played", F.col("matches_played").cast("string")), "batsmen")
