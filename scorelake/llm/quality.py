@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -204,21 +205,25 @@ class Scorer:
 def fit_scorer(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 400) -> Scorer:
     """Weighted logistic regression on soft labels, by full gradients with momentum.
 
-    Columns are scaled to unit spread for the fit and the scale is folded into the weights."""
-    spread = np.sqrt(np.average((x - np.average(x, 0, weight)) ** 2, 0, weight)) + 1e-4
-    mean = np.average(x, 0, weight)
-    z = ((x - mean) / spread).astype(np.float32)
+    Columns are scaled to unit spread for the fit (``x`` is overwritten) and the scale is folded into the weights."""
     share = (weight / weight.sum()).astype(np.float32)
+    mean = share @ x
+    z = np.subtract(x, mean, out=x)  # in place: the sample is held once
+    spread = np.zeros_like(mean)
+    for at in range(0, len(z), 256):
+        spread += share[at:at + 256] @ z[at:at + 256] ** 2
+    rate = 0.5 / max(1.0, float((spread / (np.sqrt(spread) + 1e-4) ** 2).sum()) / 50)
+    spread = np.sqrt(spread) + np.float32(1e-4)
+    z /= spread
     w, b = np.zeros(x.shape[1], np.float32), 0.0
     vw, vb = np.zeros_like(w), 0.0
-    rate = 0.5 / max(1.0, float((share @ (z ** 2)).sum()) / 50)
     for _ in range(rounds):
         err = share * (1 / (1 + np.exp(-np.clip(z @ w + b, -30, 30))) - y).astype(np.float32)
         vw = 0.9 * vw - rate * (z.T @ err + 1e-4 * w)
         vb = 0.9 * vb - rate * float(err.sum())
         w, b = w + vw, b + vb
     real = w / spread
-    return Scorer(real.astype(np.float64), float(b - (mean * real).sum()))
+    return Scorer(real.astype(np.float64), float(b - (mean.astype(np.float64) * real).sum()))
 
 
 def train(df: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> tuple[LabelModel, Scorer]:
@@ -251,19 +256,20 @@ def train(df: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> tuple[
         pairs, c = np.unique(row * DIMENSIONS + dim, return_counts=True)
         edge = np.searchsorted(pairs, np.arange(block.rows + 1) * DIMENSIONS)
         rows = [{"dims": (pairs[edge[r]:edge[r + 1]] - r * DIMENSIONS).tolist(),
-                 "n": c[edge[r]:edge[r + 1]].tolist(), "soft": float(soft[r]), "weight": 1 / float(part[r])}
-                for r in keep.tolist()]
+                 "n": c[edge[r]:edge[r + 1]].tolist(), "soft": float(soft[r]), "weight": 1 / float(part[r]),
+                 "h": batch.column(1)[r].as_py()} for r in keep.tolist()]
         return pa.RecordBatch.from_pylist(rows, pa.schema([
-            ("dims", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())), ("soft", pa.float64()),
-            ("weight", pa.float64())]))
+            ("dims", pa.list_(pa.int32())), ("n", pa.list_(pa.int32())), ("soft", pa.float64()),
+            ("weight", pa.float64()), ("h", pa.int64())]))
 
     hashed = text.withColumn("h", F.pmod(F.xxhash64(F.lit("sample"), "text"), F.lit(1 << 30)))
-    rows = sorted(map(tuple, map_batches(hashed, pick, "dims array<long>, n array<long>, soft double, weight double")
-                      .collect()))
-    x = np.zeros((len(rows), DIMENSIONS), np.float32)
-    for i, (dims, c, _, _) in enumerate(rows):
-        x[i, dims] = np.array(c, np.float32) / max(sum(c), 1)
-    return model, fit_scorer(x, np.array([r[2] for r in rows]), np.array([r[3] for r in rows]))
+    picked = map_batches(hashed, pick, "dims array<int>, n array<int>, soft double, weight double, h long").toArrow()
+    picked = picked.take(np.argsort(np.asarray(picked["h"]), kind="stable")).combine_chunks()
+    dims, c = (np.asarray(picked[k].combine_chunks().flatten()) for k in ("dims", "n"))
+    row = np.repeat(np.arange(len(picked)), np.asarray(pa.compute.list_value_length(picked["dims"])))
+    x = np.zeros((len(picked), DIMENSIONS), np.float32)
+    x[row, dims] = c / np.maximum(np.bincount(row, c, len(picked)), 1)[row]
+    return model, fit_scorer(x, np.asarray(picked["soft"]), np.asarray(picked["weight"]))
 
 
 def classify(df: DataFrame, models: tuple[LabelModel, Scorer], id_col: str = "doc_id",
