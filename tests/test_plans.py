@@ -1,5 +1,7 @@
 """Plan checks: no Python evaluation, pushdown/pruning, top-k operators."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -12,7 +14,11 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+#: The text operators choose their style themselves and have tests of their own.
+LIBRARY = sorted(n for n in E.queries() if not re.match(r"op\d+_|pipeline$", n))
+
+
+@pytest.mark.parametrize("name", LIBRARY)
 def test_no_python_in_plans(spark, name):
     if name in ("refresh_all", "lake_roundtrip"):
         pytest.skip("writes a lake; covered by test_lake")
