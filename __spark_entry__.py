@@ -212,10 +212,18 @@ def _ranked_sql(role: str, fmt: str) -> str:
             f"FROM rows_{role} WHERE format = '{fmt}' GROUP BY full_name)")
 
 
-def _pick_sql(role: str, fmt: str, rank: int) -> str:
-    """Name at a rank (1-based) of T9; for 2 falls back to rank 1."""
+def _pick_sql(role: str, fmt: str, rank: int | str | tuple[str]) -> str:
+    """Name at a rank (1-based) of T9; for 2 falls back to rank 1; a name is itself.
+
+    ``(name,)`` is the best other than that name, or the name if nobody else is there.
+    """
+    if isinstance(rank, str):
+        return f"'{rank}'"
     r = _ranked_sql(role, fmt)
     order = f"ORDER BY {O.num('value')} DESC, full_name"
+    if isinstance(rank, tuple):
+        return (f"(SELECT coalesce((SELECT full_name FROM {r} WHERE full_name <> '{rank[0]}' "
+                f"{order} LIMIT 1), '{rank[0]}'))")
     if rank == 1:
         return f"(SELECT full_name FROM {r} {order} LIMIT 1)"
     return (f"(SELECT coalesce((SELECT full_name FROM {r} WHERE full_name <> {_pick_sql(role, fmt, 1)} "
@@ -273,20 +281,20 @@ _reg("leaderboard_max", _leader_sql("batsmen", "Test", "highest_score", False))(
 _SUGGEST_Q = "MER#0000011"
 
 
-def _suggest_sql(role: str, fmt: str, query: str, exclude_first: bool) -> str:
+def _suggest_sql(role: str, fmt: str, query: str, exclude: int | str | None) -> str:
     r = _ranked_sql(role, fmt)
     order = f"{O.num('value')} DESC, full_name"
-    ex = f" AND full_name <> {_pick_sql(role, fmt, 1)}" if exclude_first else ""
+    ex = f" AND full_name <> {_pick_sql(role, fmt, exclude)}" if exclude else ""
     return _rows_sql(role, (
         f"SELECT CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS rank, full_name, country, "
         f"CAST(value AS DOUBLE) AS value FROM (SELECT * FROM {r} "
         f"WHERE contains(lower(full_name), '{query.lower()}'){ex} ORDER BY {order} LIMIT 8)"))
 
 
-_reg("suggestions", _suggest_sql("batsmen", "ODI", _SUGGEST_Q, False))(
+_reg("suggestions", _suggest_sql("batsmen", "ODI", _SUGGEST_Q, None))(
     lambda spark, d: board.suggestions(_sc(spark, d).rows("batsmen"), "batsmen", "ODI",
                                        _SUGGEST_Q))
-_reg("compare_suggestions", _suggest_sql("batsmen", "ODI", "", True))(
+_reg("compare_suggestions", _suggest_sql("batsmen", "ODI", "", 1))(
     lambda spark, d: board.suggestions(_sc(spark, d).rows("batsmen"), "batsmen", "ODI", "",
                                        exclude_selected=True))
 
@@ -322,7 +330,7 @@ _reg("metric_availability", _avail_sql("batsmen"))(
     lambda spark, d: board.metric_availability(_sc(spark, d).rows("batsmen"), "batsmen"))
 
 
-def _values_sql(role: str, fmt: str, metrics: tuple[str, ...], picks: dict[str, int],
+def _values_sql(role: str, fmt: str, metrics: tuple[str, ...], picks: dict[str, int | str],
                 limit: int | None, carry: str = "") -> str:
     """Available metrics of the role with the picked players' values."""
     from scorelake.specs import FIRST_METRICS, MEAN_METRICS
@@ -358,8 +366,8 @@ _reg("profile", _values_sql("bowler", "Test", spec("bowler").profile, {"value":
     lambda spark, d: board.profile(_sc(spark, d).rows("bowler"), "bowler", "Test"))
 
 
-def _versus_sql(role: str, fmt: str) -> str:
-    base = _values_sql(role, fmt, spec(role).metrics, {"first": 1, "second": 2}, 5)
+def _versus_sql(role: str, fmt: str, first: int | str = 1, second: int | str = 2) -> str:
+    base = _values_sql(role, fmt, spec(role).metrics, {"first": first, "second": second}, 5)
     head, body = base.rsplit("\nSELECT metric, position, first, second FROM (", 1)
     f, s = O.num("first"), O.num("second")
     top = f"greatest({f}, {s}, 1.0)"
@@ -379,9 +387,9 @@ _reg("versus_card", _values_sql(
     lambda spark, d: board.versus_card(_sc(spark, d).rows("fielder"), "fielder", "ODI"))
 
 
-def _by_format_sql(role: str, fmt: str) -> str:
+def _by_format_sql(role: str, fmt: str, first: int | str = 1, second: int | str = 2) -> str:
     p = spec(role).primary
-    a, b = _pick_sql(role, fmt, 1), _pick_sql(role, fmt, 2)
+    a, b = _pick_sql(role, fmt, first), _pick_sql(role, fmt, second)
     cols = []
     for i, f in enumerate(BOARD_FORMAT_ORDER):
         ca, cb = f"format = '{f}' AND full_name = {a}", f"format = '{f}' AND full_name = {b}"
@@ -404,9 +412,9 @@ _reg("versus_by_format", _by_format_sql("bowler", "T20"))(
     lambda spark, d: board.versus_by_format(_sc(spark, d).rows("bowler"), "bowler", "T20"))
 
 
-def _bars_sql(role: str, fmt: str) -> str:
+def _bars_sql(role: str, fmt: str, pick: int | str = 1) -> str:
     p = spec(role).primary
-    a = _pick_sql(role, fmt, 1)
+    a = _pick_sql(role, fmt, pick)
     conds = [f"format = '{f}' AND full_name = {a}" for f in BOARD_FORMAT_ORDER]
     cols = [f"CAST({O.metric_agg(p, c)} AS DOUBLE) AS v{i}" for i, c in enumerate(conds)]
     top = "greatest(1.0, " + ", ".join(O.num(f"v{i}") for i in range(3)) + ")"
@@ -423,9 +431,9 @@ _reg("format_bars", _bars_sql("batsmen", "ODI"))(
     lambda spark, d: board.format_bars(_sc(spark, d).rows("batsmen"), "batsmen", "ODI"))
 
 
-def _best_sql(role: str, fmt: str, scope: str) -> str:
+def _best_sql(role: str, fmt: str, scope: str, pick: int | str = 1) -> str:
     p = spec(role).primary
-    a = _pick_sql(role, fmt, 1)
+    a = _pick_sql(role, fmt, pick)
     where = f"full_name = {a}" + (f" AND format = '{fmt}'" if scope == "format" else "")
     sel = []
     for i, f in enumerate(BOARD_FORMAT_ORDER):
@@ -444,8 +452,8 @@ _reg("best_format_current", _best_sql("batsmen", "T20", "format"))(
     lambda spark, d: board.best_format(_sc(spark, d).rows("batsmen"), "batsmen", "T20"))
 
 
-def _header_sql(role: str, fmt: str) -> str:
-    a = _pick_sql(role, fmt, 1)
+def _header_sql(role: str, fmt: str, pick: int | str = 1) -> str:
+    a = _pick_sql(role, fmt, pick)
     fl = ", ".join(f"CASE WHEN bool_or(format = '{f}') THEN '{f}' END" for f in BOARD_FORMAT_ORDER)
     return _rows_sql(role, (
         f"SELECT min(full_name) AS full_name, "
@@ -458,9 +466,9 @@ _reg("player_header", _header_sql("batsmen", "Test"))(
     lambda spark, d: board.player_header(_sc(spark, d).rows("batsmen"), "batsmen", "Test"))
 
 
-def _compare_header_sql(role: str, fmt: str) -> str:
+def _compare_header_sql(role: str, fmt: str, player: int | str = 1, rival: int | str | tuple[str] = 2) -> str:
     out = []
-    for slot, rank in (("player", 1), ("rival", 2)):
+    for slot, rank in (("player", player), ("rival", rival)):
         p = _pick_sql(role, fmt, rank)
         out.append(f"SELECT '{slot}' AS slot, min(full_name) AS full_name, "
                    f"coalesce(min(country), 'Unknown') AS country FROM rows_{role} "
@@ -472,6 +480,61 @@ _reg("compare_header", _compare_header_sql("bowler", "ODI"))(
     lambda spark, d: board.compare_header(_sc(spark, d).rows("bowler"), "bowler", "ODI"))
 
 
+# the other roles of the board queries above
+for _role, _fmt in (("batsmen", "T20"), ("bowler", "T20"), ("fielder", "Test")):
+    _more = {
+        "metric_availability": (_avail_sql(_role),
+                                lambda rows, r, f: board.metric_availability(rows, r)),
+        "kpis": (_values_sql(_role, _fmt, spec(_role).kpis, {"value": 1}, None), board.kpis),
+        "profile": (_values_sql(_role, _fmt, spec(_role).profile, {"value": 1}, None), board.profile),
+        "versus": (_versus_sql(_role, _fmt), board.versus),
+        "versus_card": (_values_sql(_role, _fmt, spec(_role).metrics, {"value": 1}, 4,
+                                    carry=_CARD_COUNTRY.format(fmt=_fmt)), board.versus_card),
+        "versus_by_format": (_by_format_sql(_role, _fmt), board.versus_by_format),
+        "format_bars": (_bars_sql(_role, _fmt), board.format_bars),
+        "leaderboard": (_leader_sql(_role, _fmt, spec(_role).primary, False), board.leaderboard),
+    }
+    for _name, (_sql, _fn) in _more.items():
+        _reg(f"{_name}_{_role}", _sql)(
+            lambda spark, d, fn=_fn, r=_role, f=_fmt: fn(_sc(spark, d).rows(r), r, f))
+
+for _role in ("batsmen", "bowler"):
+    _reg(f"country_sorted_{_role}", O.with_roles(
+        f"SELECT {', '.join(board.COUNTRY_VIEW_COLUMNS[_role])} FROM cw_{_role} WHERE format = 'T20'",
+        [_role], extra=O.country_wise_cte(_role)))(
+        lambda spark, d, r=_role: board.country_view(board.country_sorted(
+            _sc(spark, d).country_stats(r, "T20"), r), r))
+
+# the same with the player (and the rival) named, as after a click on the board
+_P, _Q = "Customer#000000005", "Customer#000000007"
+_named = {
+    "kpis_named": (_values_sql("batsmen", "ODI", spec("batsmen").kpis, {"value": _P}, None), "batsmen",
+                   lambda rows, r: board.kpis(rows, r, "ODI", _P)),
+    "profile_named": (_values_sql("bowler", "ODI", spec("bowler").profile, {"value": _P}, None), "bowler",
+                      lambda rows, r: board.profile(rows, r, "ODI", _P)),
+    "versus_named": (_versus_sql("batsmen", "Test", _P, _Q), "batsmen",
+                     lambda rows, r: board.versus(rows, r, "Test", _P, _Q)),
+    "versus_by_format_named": (_by_format_sql("fielder", "ODI", _P, _Q), "fielder",
+                               lambda rows, r: board.versus_by_format(rows, r, "ODI", _P, _Q)),
+    "format_bars_named": (_bars_sql("bowler", "ODI", _P), "bowler",
+                          lambda rows, r: board.format_bars(rows, r, "ODI", _P)),
+    "best_format_named": (_best_sql("batsmen", "ODI", "all", _P), "batsmen",
+                          lambda rows, r: board.best_format(rows, r, "ODI", _P, scope="all")),
+    "player_header_named": (_header_sql("fielder", "T20", _P), "fielder",
+                            lambda rows, r: board.player_header(rows, r, "T20", _P)),
+    "compare_header_named": (_compare_header_sql("batsmen", "Test", _P, _Q), "batsmen",
+                             lambda rows, r: board.compare_header(rows, r, "Test", _P, _Q)),
+    "compare_header_player": (_compare_header_sql("bowler", "Test", _P, (_P,)), "bowler",
+                              lambda rows, r: board.compare_header(rows, r, "Test", _P)),
+    "compare_header_rival": (_compare_header_sql("bowler", "T20", 1, _Q), "bowler",
+                             lambda rows, r: board.compare_header(rows, r, "T20", rival=_Q)),
+    "compare_suggestions_named": (_suggest_sql("fielder", "T20", "", _P), "fielder",
+                                  lambda rows, r: board.suggestions(rows, r, "T20", "", exclude=_P)),
+}
+for _name, (_sql, _role, _fn) in _named.items():
+    _reg(_name, _sql)(lambda spark, d, fn=_fn, r=_role: fn(_sc(spark, d).rows(r), r))
+
+
 @_reg("union_roles", O.with_roles(
     "SELECT role, format, count(*) AS n_rows, count(runs) AS n_runs, count(wickets) AS n_wickets, "
     "count(catches) AS n_catches FROM (" + " UNION ALL BY NAME ".join(

@@ -17,6 +17,8 @@ conditional aggregates in one pass and turned into rows with ``stack``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -137,12 +139,26 @@ def pick_player(rows: DataFrame, role: str, fmt: str, player: str | None = None,
     return cands.orderBy("__p").limit(1).select("full_name")
 
 
-def _only(rows: DataFrame, pick: DataFrame) -> DataFrame:
-    """Rows of the picked player: broadcast semi-join with a one-row frame."""
+def _is(player: str) -> Column:
+    return F.coalesce(F.col("full_name") == F.lit(player), F.lit(False))
+
+
+def _chosen(rows: DataFrame, role: str, fmt: str, player: str | None) -> DataFrame | str:
+    """A named player as the name itself, else the best one as a one-row frame."""
+    return pick_player(rows, role, fmt) if player is None else player
+
+
+def _only(rows: DataFrame, pick: DataFrame | str) -> DataFrame:
+    """Rows of one player: a literal filter for a name, a broadcast semi-join
+    for a one-row pick."""
+    if isinstance(pick, str):
+        return rows.where(F.col("full_name") == F.lit(pick))
     return rows.join(F.broadcast(pick), "full_name", "left_semi")
 
 
-def _flag(rows: DataFrame, pick: DataFrame, name: str) -> DataFrame:
+def _flag(rows: DataFrame, pick: DataFrame | str, name: str) -> DataFrame:
+    if isinstance(pick, str):
+        return rows.withColumn(name, _is(pick))
     p = pick.select(F.col("full_name").alias(f"__{name}"), F.lit(True).alias(name))
     return (rows.join(F.broadcast(p), F.col("full_name") == F.col(f"__{name}"), "left")
             .drop(f"__{name}").fillna(False, subset=[name]))
@@ -179,7 +195,7 @@ def metric_availability(rows: DataFrame, role: str) -> DataFrame:
 
 def _metric_values(rows: DataFrame, role: str, metrics: tuple[str, ...], fmt: str,
                    picks, limit: int | None, carry: dict[str, Column] | None = None,
-                   slots: DataFrame | None = None) -> DataFrame:
+                   pair: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Long frame (metric, position, <pick> values...) for available metrics.
 
     Availability is over the role's rows of every format (B2); values are
@@ -187,8 +203,8 @@ def _metric_values(rows: DataFrame, role: str, metrics: tuple[str, ...], fmt: st
     ``carry`` aggregates (e.g. a country) are repeated on every row.
     """
     text = any(m in FIRST_METRICS for m in metrics)
-    if slots is not None:  # a compared pair: flags "first"/"second" from one join
-        flagged = _flag_pair(rows, slots)
+    if pair is not None:  # a compared pair: flags "first"/"second"
+        flagged = pair(rows)
     else:
         flagged = rows
         for name, pick in picks.items():
@@ -254,9 +270,8 @@ def _slots(rows: DataFrame, role: str, fmt: str, player: str | None = None,
     else:
         a = spark.range(1).select(F.lit(player).alias("full_name"))
     if rival is None:
-        # best other than the player, else the player
-        others = ranked.join(F.broadcast(a.select(F.col("full_name").alias("__a"))),
-                             F.col("full_name") == F.col("__a"), "left_anti")
+        # best other than the (named) player, else the player
+        others = ranked.where(~_is(player))
         cands = (others.orderBy(*order).limit(1).select("full_name", F.lit(0).alias("__p"))
                  .unionByName(a.select("full_name", F.lit(1).alias("__p"))))
         b = cands.orderBy("__p").limit(1).select("full_name")
@@ -269,9 +284,18 @@ def _slots(rows: DataFrame, role: str, fmt: str, player: str | None = None,
                                          F.max("second").alias("second"))
 
 
+def _pair(rows: DataFrame, role: str, fmt: str, player: str | None,
+          rival: str | None) -> Callable[[DataFrame], DataFrame]:
+    """Adds boolean ``first``/``second`` columns to a frame: literals if both
+    players are named, else one broadcast join with the (at most two-row)
+    slots frame."""
+    if player is not None and rival is not None:
+        return lambda df: df.withColumns({"first": _is(player), "second": _is(rival)})
+    slots = _slots(rows, role, fmt, player, rival)
+    return lambda df: _flag_pair(df, slots)
+
+
 def _flag_pair(rows: DataFrame, slots: DataFrame) -> DataFrame:
-    """Rows with boolean ``first``/``second`` columns: one broadcast join
-    with the (at most two-row) slots frame."""
     sl = slots.select(F.col("full_name").alias("__n"), "first", "second")
     return (rows.join(F.broadcast(sl), F.col("full_name") == F.col("__n"), "left")
             .drop("__n").fillna(False, subset=["first", "second"]))
@@ -279,19 +303,19 @@ def _flag_pair(rows: DataFrame, slots: DataFrame) -> DataFrame:
 
 def kpis(rows: DataFrame, role: str, fmt: str, player: str | None = None) -> DataFrame:
     """The role's KPI metrics (the available ones) of a player."""
-    a = pick_player(rows, role, fmt, player)
+    a = _chosen(rows, role, fmt, player)
     return _metric_values(rows, role, spec(role).kpis, fmt, {"value": a}, None)
 
 
 def profile(rows: DataFrame, role: str, fmt: str, player: str | None = None) -> DataFrame:
     """The role's profile metrics (the available ones) of a player."""
-    a = pick_player(rows, role, fmt, player)
+    a = _chosen(rows, role, fmt, player)
     return _metric_values(rows, role, spec(role).profile, fmt, {"value": a}, None)
 
 
 def versus_card(rows: DataFrame, role: str, fmt: str, player: str | None = None) -> DataFrame:
     """First four available board metrics of a player, with the country."""
-    a = pick_player(rows, role, fmt, player)
+    a = _chosen(rows, role, fmt, player)
     mine = (F.col("format") == fmt) & F.col("value")
     country = F.coalesce(F.min(F.when(mine, F.col("country"))), F.lit("Unknown country"))
     return _metric_values(rows, role, spec(role).metrics, fmt, {"value": a}, 4,
@@ -305,9 +329,9 @@ def versus(rows: DataFrame, role: str, fmt: str, player: str | None = None,
     Per metric: both values, each as % of the larger (at least 1, bars
     floored at 5) and whether the first wins (a tie goes to the second).
     """
-    slots = _slots(rows, role, fmt, player, rival)
+    pair = _pair(rows, role, fmt, player, rival)
     vals = _metric_values(rows, role, spec(role).metrics, fmt, ("first", "second"), 5,
-                          slots=slots)
+                          pair=pair)
     return _percentages(vals, floor=5.0)
 
 
@@ -326,7 +350,7 @@ def versus_by_format(rows: DataFrame, role: str, fmt: str, player: str | None =
                      rival: str | None = None) -> DataFrame:
     """Player vs rival on the primary metric in each format (all shown)."""
     primary = spec(role).primary
-    flagged = _flag_pair(rows, _slots(rows, role, fmt, player, rival))
+    flagged = _pair(rows, role, fmt, player, rival)(rows)
     aggs = []
     for i, f in enumerate(BOARD_FORMAT_ORDER):
         in_f = F.col("format") == f
@@ -358,7 +382,7 @@ def format_bars(rows: DataFrame, role: str, fmt: str, player: str | None = None)
     Every format is shown, also without rows; bars floor at 2 %.
     """
     primary = spec(role).primary
-    a = pick_player(rows, role, fmt, player)
+    a = _chosen(rows, role, fmt, player)
     mine = _only(rows, a)
     aggs = [metric_agg(primary, F.col("format") == f).cast("double").alias(f"v{i}")
             for i, f in enumerate(BOARD_FORMAT_ORDER)]
@@ -385,7 +409,7 @@ def best_format(rows: DataFrame, role: str, fmt: str, player: str | None = None,
     board's profile card does; ``"all"`` at every format.
     """
     primary = spec(role).primary
-    a = pick_player(rows, role, fmt, player)
+    a = _chosen(rows, role, fmt, player)
     mine = _only(relevant(rows, fmt if scope == "format" else None), a)
     structs = []
     for i, f in enumerate(BOARD_FORMAT_ORDER):
@@ -437,9 +461,12 @@ def suggestions(rows: DataFrame, role: str, fmt: str, query: str = "",
     if query:
         ranked = ranked.where(F.lower(F.col("full_name")).contains(query))
     if exclude_selected or exclude is not None:
-        sel = pick_player(rows, role, fmt, exclude)
-        ranked = ranked.join(F.broadcast(sel.select(F.col("full_name").alias("__sel"))),
-                             F.col("full_name") == F.col("__sel"), "left_anti")
+        sel = _chosen(rows, role, fmt, exclude)
+        if isinstance(sel, str):
+            ranked = ranked.where(~_is(sel))
+        else:
+            ranked = ranked.join(F.broadcast(sel.select(F.col("full_name").alias("__sel"))),
+                                 F.col("full_name") == F.col("__sel"), "left_anti")
     order = [_num(F.col("value")).desc(), F.col("full_name")]
     best = ranked.orderBy(*order).limit(top)
     from pyspark.sql.window import Window
@@ -478,7 +505,7 @@ def player_count(*role_rows: DataFrame) -> DataFrame:
 def player_header(rows: DataFrame, role: str, fmt: str, player: str | None = None,
                   scope: str = "format") -> DataFrame:
     """A player's name, countries and formats (Test, ODI, T20 order)."""
-    a = pick_player(rows, role, fmt, player)
+    a = _chosen(rows, role, fmt, player)
     mine = _only(relevant(rows, fmt if scope == "format" else None), a)
     have = [F.max(F.col("format") == f).alias(f"h{i}") for i, f in enumerate(BOARD_FORMAT_ORDER)]
     one = mine.agg(
@@ -494,7 +521,7 @@ def player_header(rows: DataFrame, role: str, fmt: str, player: str | None = Non
 def compare_header(rows: DataFrame, role: str, fmt: str, player: str | None = None,
                    rival: str | None = None) -> DataFrame:
     """The country of each compared player ("Unknown" if none)."""
-    flagged = _flag_pair(relevant(rows, fmt), _slots(rows, role, fmt, player, rival))
+    flagged = _pair(rows, role, fmt, player, rival)(relevant(rows, fmt))
     one = flagged.agg(*[
         F.min(F.when(F.col(w), F.col(c))).alias(f"{w}_{c}")
         for w in ("first", "second") for c in ("full_name", "country")])
