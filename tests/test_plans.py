@@ -49,3 +49,24 @@ def test_country_filter_reaches_partition_of_lake(spark, smoke_cards, tmp_path):
     plan = _plan(lake.country_stats("bowler", "ODI", "Pakistan"))
     assert "PartitionFilters: [isnotnull(format" in plan
     assert "PushedFilters: [IsNotNull(country), EqualTo(country,Pakistan)]" in plan
+
+
+@pytest.mark.parametrize("name", [n for n in LIBRARY if n.endswith("_named")])
+def test_named_player_is_a_literal_filter(spark, name):
+    plan = _plan(E.queries()[name](spark, SMOKE))
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    scans = [ln for ln in plan.splitlines() if "FileScan" in ln and "lineitem" in ln]
+    assert len(scans) == 1, scans
+
+
+def test_named_player_reaches_the_scan_of_the_lake(spark, smoke_cards):
+    import uuid
+    from scorelake.operators import board
+    from scorelake.plans.layers import Scorecards
+    from scorelake.plans.refresh import refresh
+    root = f"{spark.conf.get('spark.checkpoint.dir')}/lake-{uuid.uuid4().hex}"
+    refresh(spark, root, raw={"batsmen": smoke_cards.raw("batsmen")}, roles=("batsmen",))
+    rows = Scorecards.from_lake(spark, root).rows("batsmen")
+    plan = _plan(board.player_header(rows, "batsmen", "ODI", "Customer#000000005"))
+    assert "EqualTo(full_name,Customer#000000005)" in plan
+    assert "PartitionFilters: [isnotnull(format" in plan
