@@ -486,11 +486,12 @@ def default_and_rival(rows: DataFrame, role: str, fmt: str) -> DataFrame:
 
 
 def player_names(rows: DataFrame, fmt: str) -> DataFrame:
-    """Distinct names of (role, format), alphabetical, case-insensitive."""
+    """Distinct names of (role, format) in locale order (Unicode collation:
+    accents and case count only between otherwise equal names)."""
     return (relevant(rows, fmt).where(F.col("full_name").isNotNull()
                                       & (F.col("full_name") != ""))
             .select("full_name").distinct()
-            .orderBy(F.lower("full_name"), "full_name"))
+            .orderBy(F.collate("full_name", "UNICODE"), "full_name"))
 
 
 def player_count(*role_rows: DataFrame) -> DataFrame:

@@ -63,3 +63,10 @@ def test_order_with_nulls_and_ties(spark):
     stats = spark.createDataFrame([("P", None), ("Q", 3), ("O", 0), ("R", 3)],
                                   "country string, total_dismissals long")
     assert [r[0] for r in rows(board.country_sorted(stats, "fielder"), "country")] == ["Q", "R", "O", "P"]
+
+
+def test_names_in_locale_order(spark):
+    names = ["Zed", "Émile", "adam", "Eve", "Ådam B", "Adam", "Emil"]
+    frame = spark.createDataFrame([(n, "ODI") for n in names + ["Eve", "", None]], "full_name string, format string")
+    assert [r[0] for r in rows(board.player_names(frame, "ODI"), "full_name")] == [
+        "adam", "Adam", "Ådam B", "Emil", "Émile", "Eve", "Zed"]
