@@ -14,7 +14,8 @@ few non-empty ranges also gives the signature "short of ranges", which all such
 sets of a band share. So no link is lost.
 
 Texts with equal sets are one class from the start. Signatures held by two or
-more classes are buckets. In each bucket the members are compared with one
+more classes are buckets; signatures with the same members are one bucket, named
+by the hash of its members. In each bucket the members are compared with one
 centre (the class in most buckets); links merge classes into components; only
 members of different components are compared further, in a second centre round
 and then pair by pair, so a group of copies is never expanded into all pairs.
@@ -214,7 +215,9 @@ def _starts(sig: np.ndarray) -> np.ndarray:
 
 
 def _shared(batch: pa.RecordBatch):
-    """Rows of signatures with two or more classes, repeats dropped (sorted by signature and class)."""
+    """(bucket, class) of signatures with two or more classes, repeats dropped (sorted by signature and class).
+
+    Signatures with the same members give the same rows."""
     sig, ids = (np.asarray(c) for c in batch.columns)
     new = np.ones(len(sig), bool)
     new[1:] = (sig[1:] != sig[:-1]) | (ids[1:] != ids[:-1])
@@ -223,7 +226,9 @@ def _shared(batch: pa.RecordBatch):
     size = np.diff(np.append(start, len(sig)))
     keep = np.repeat(size > 1, size)
     if keep.any():
-        yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(ids[keep])], ["sig", "set"])
+        members = np.add.reduceat(mix64(ids.view(U64)), start) + size.astype(U64)
+        bucket = np.repeat(mix64(members).view(np.int64), size)
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[keep]), pa.array(ids[keep])], ["sig", "set"])
 
 
 def _centres(batch: pa.RecordBatch):
@@ -338,7 +343,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = stored(base.where(F.col("set").isNotNull()).groupBy("set").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("member"), F.min("doc_id").alias("name"),
         F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
-    shared = stored(_runs(_by_signature(_signature_rows(docs), "set"), _shared, "sig long, set long"), "buckets")
+    shared = stored(_runs(_by_signature(_signature_rows(docs), "set"), _shared, "sig long, set long").distinct(), "buckets")
     degree = stored(shared.groupBy("set").agg(F.count(F.lit(1)).alias("degree")), "degrees")
     texts = _texts(degree.select("set"), classes, docs, kind)
     edges, labels = None, None
