@@ -10,7 +10,8 @@ executor repeats only its own partitions.
 
 Defined results: a null text counts as empty; an empty text or table has no
 spans; repeated rows give equal rows; other input columns are not read by
-``scan``. Spans are code points, end exclusive; spans of different rules may
+``scan``. A private key is one span from its BEGIN line over its body to its END
+line; a key cut off before its END goes as far as the base64 does. Spans are code points, end exclusive; spans of different rules may
 overlap and all are kept.
 """
 
@@ -52,8 +53,18 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]{16,}"),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
+_BREAK = r"(?:\r?\n|(?:\\r)?\\n)"
+_BASE64 = r"[A-Za-z0-9+/]"
+#: A key from its header to the END line of the same label; without one before the next BEGIN, over what follows
+#: of base64: runs of 16 or more, and lines (real or escaped breaks, quoted or indented) of nothing else.
+_PRIVATE_KEY = (
+    r"-----BEGIN ([A-Z ]{0,20})PRIVATE KEY-----"
+    r"(?:(?:(?!-----BEGIN )[\s\S])*?-----END \1PRIVATE KEY-----"
+    rf"|(?:(?:{_BREAK}(?:Proc-Type|DEK-Info):[^\r\n\\]*)|"
+    rf"(?:[\x20\t>#*\"'+,/]|{_BREAK})*{_BASE64}{{16,}}={{0,2}}|"
+    rf"{_BREAK}+[\x20\t>#*\"'/]*{_BASE64}+={{0,2}}(?=[\x20\t\"',;]*(?:\r|\n|\\[rn]|\Z)))*)")
 RULES = BASE_RULES + (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    Rule("private_key", _PRIVATE_KEY),
     Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
