@@ -1,7 +1,7 @@
 """Removal of repeated substrings with a sparse suffix array.
 
 Each byte covered by a ``LENGTH``-byte string that also starts earlier (smaller
-id, or same document and earlier start) goes. A suffix array of every position
+id, or same row and earlier start) goes. A suffix array of every position
 would move many times the input, so only anchored suffixes are sorted: every
 ``LENGTH``-byte window names as its anchor the ``GRAM``-byte gram of smallest
 hash that it holds, so equal windows have equal anchors at equal offsets.
@@ -16,15 +16,17 @@ context).
    are sorted, and all but the first of each go. Grams with more than
    ``HOT_BLOCKS`` contents are dealt by window instead of by gram, so no gram
    meets in one task.
-3. Removed intervals meet their document; what is left is concatenated.
+3. Removed intervals meet their row; what is left is concatenated.
 
 Repeats inside a batch are settled there first, so a passage that very many
 documents share reaches a task once per batch. Equal content is equality of
 64-bit hashes together with equal anchors.
 
 Defined results: null texts count as empty; texts under ``LENGTH`` bytes keep
-all; rows with one id are one position in the order, so a repeated row removes
-nothing from its twin; null ids come first.
+all; null ids come first. Rows with one id (or null ids) and different texts are
+rows of their own, in the order of a 64-bit hash of the text: each loses what
+repeats in itself, and only that. Rows equal in id and text are one place in the
+order, so a repeated row removes nothing from its twin.
 """
 
 from __future__ import annotations
@@ -93,61 +95,65 @@ def blocks(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
             start - offsets[row[first]], stop - start)
 
 
-def merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray):
-    """The intervals of each document with overlapping and touching ones joined."""
-    order = np.lexsort((start, doc))
-    doc, start, end = doc[order], start[order], end[order]
+def merged(doc: np.ndarray, key: np.ndarray, start: np.ndarray, end: np.ndarray):
+    """The intervals of each row (id and text hash) with overlapping and touching ones joined."""
+    order = np.lexsort((start, key, doc))
+    doc, key, start, end = doc[order], key[order], start[order], end[order]
     if not len(doc):
-        return doc, start, end
-    _, group = np.unique(doc, return_inverse=True)
+        return doc, key, start, end
+    group = np.concatenate(([0], np.cumsum((doc[1:] != doc[:-1]) | (key[1:] != key[:-1]))))
     shift = group * (int(end.max()) + 2)
     reach = np.maximum.accumulate(end + shift)
     new = np.ones(len(doc), bool)
     new[1:] = start[1:] + shift[1:] > reach[:-1]
     at = np.flatnonzero(new)
     last = np.append(at[1:], len(doc)) - 1
-    return doc[at], start[at], reach[last] - shift[at]
+    return doc[at], key[at], start[at], reach[last] - shift[at]
 
 
-def _not_first(*keys: np.ndarray, doc: np.ndarray, start: np.ndarray):
-    """(order, is first, is later): rows sorted by keys, id and start; later rows are in a place of
+def _not_first(*keys: np.ndarray, place: tuple[np.ndarray, np.ndarray, np.ndarray]):
+    """(order, is first, is later): rows sorted by keys and place (id, text hash, start); later rows are in a place of
     their own behind the first of their key (a row at the very place of the first is neither)."""
-    order = np.lexsort((start, doc, *reversed(keys)))
+    order = np.lexsort((*reversed(place), *reversed(keys)))
     same = np.ones(max(len(order) - 1, 0), bool)
     for k in keys:
         k = k[order]
         same &= k[1:] == k[:-1]
     head = np.concatenate((np.ones(min(len(order), 1), bool), ~same))
     lead = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
-    d, s = doc[order], start[order]
-    later = (d != d[lead]) | (s != s[lead])
+    later = np.zeros(len(order), bool)
+    for x in place:
+        x = x[order]
+        later |= x != x[lead]
     return order, head, later
 
 
-def _intervals(doc, start, end) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(start, pa.int64()),
-                                       pa.array(end, pa.int64())], ["doc", "start", "end"])
+def _longs(**columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns.values()], list(columns))
 
 
-_INTERVALS = "doc long, start long, end long"
+def _intervals(doc, key, start, end) -> pa.RecordBatch:
+    return _longs(doc=doc, key=key, start=start, end=end)
+
+
+_INTERVALS = "doc long, key long, start long, end long"
 
 
 def _block_rows(docs: DataFrame, length: int, gram: int, repeats: bool) -> DataFrame:
     """First blocks of each batch, or (``repeats``) the intervals that repeat blocks of their batch."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        block = Block(batch.column(1))
+        block = Block(batch.column(2))
         a, b, row, start, size = blocks(block.bytes, block.offsets, length, gram)
-        doc = np.asarray(batch.column(0))[row]
-        order, head, later = _not_first(a, b, doc=doc, start=start)
+        doc, key = (np.asarray(batch.column(i))[row] for i in (0, 1))
+        order, head, later = _not_first(a, b, place=(doc, key, start))
         if repeats:
             at = order[later]
-            return _intervals(*merged(doc[at], start[at], start[at] + size[at]))
+            return _intervals(*merged(doc[at], key[at], start[at], start[at] + size[at]))
         at = order[head]
-        return pa.RecordBatch.from_arrays([pa.array(x[at], pa.int64()) for x in (a, b, doc, start, size)],
-                                          ["gram", "block", "doc", "start", "size"])
+        return _longs(gram=a[at], block=b[at], doc=doc[at], key=key[at], start=start[at], size=size[at])
 
-    schema = _INTERVALS if repeats else "gram long, block long, doc long, start long, size long"
+    schema = _INTERVALS if repeats else "gram long, block long, doc long, key long, start long, size long"
     return map_batches(docs, run, schema)
 
 
@@ -176,23 +182,22 @@ def _sorted_runs(frame: DataFrame, key: str, fn, schema: str, *order: str) -> Da
 
 def _settle(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Whole repeats as intervals (contents 0); first blocks of grams with several contents (their number)."""
-    gram, block, doc, start, size = (np.asarray(c) for c in batch.columns)
-    order, head, later = _not_first(gram, block, doc=doc, start=start)
-    gram, doc, start, size = gram[order], doc[order], start[order], size[order]
+    gram, block, doc, key, start, size = (np.asarray(c) for c in batch.columns)
+    order, head, later = _not_first(gram, block, place=(doc, key, start))
+    gram, doc, key, start, size = gram[order], doc[order], key[order], start[order], size[order]
     edge = np.concatenate(([0], np.flatnonzero(gram[1:] != gram[:-1]) + 1))
     contents = np.repeat(np.add.reduceat(head.astype(np.int64), edge), np.diff(np.append(edge, len(gram))))
     keep = later | (head & (contents > 1))
     number = np.where(later, 0, contents)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(x[keep], pa.int64()) for x in (doc, start, start + size, gram, number)],
-        ["doc", "start", "end", "gram", "contents"])
+    yield _longs(doc=doc[keep], key=key[keep], start=start[keep], end=(start + size)[keep], gram=gram[keep],
+                 contents=number[keep])
 
 
-def _window_repeats(doc, start, key, hashes, length: int):
-    """Intervals of windows that repeat an earlier one with the same key and content."""
-    order, _, later = _not_first(key, hashes, doc=doc, start=start)
-    at = order[later]
-    return merged(doc[at], start[at], start[at] + length)
+def _window_repeats(*content: np.ndarray, place: tuple[np.ndarray, np.ndarray, np.ndarray], length: int):
+    """Intervals of windows that repeat an earlier one with the same content."""
+    order, _, later = _not_first(*content, place=place)
+    doc, key, start = (x[order[later]] for x in place)
+    return merged(doc, key, start, start + length)
 
 
 def _windows(sizes: np.ndarray, length: int):
@@ -206,29 +211,31 @@ def _compare(length: int):
     """Windows of the blocks of each gram, on the bytes that came along."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        gram, doc, start = (np.asarray(batch.column(i)) for i in range(3))
-        data = batch.column(3).to_pylist()
+        gram, doc, key, start = (np.asarray(batch.column(i)) for i in range(4))
+        data = batch.column(4).to_pylist()
         sizes = np.array([len(x) for x in data], np.int64)
         flat = np.frombuffer(b"".join(data), np.uint8)
         which, offset = _windows(sizes, length)
         at = (np.cumsum(sizes) - sizes)[which] + offset
         h = Hashes(flat)(at, at + length)
-        yield _intervals(*_window_repeats(doc[which], start[which] + offset, gram[which], h, length))
+        yield _intervals(*_window_repeats(gram[which], h, place=(doc[which], key[which], start[which] + offset),
+                                          length=length))
 
     return run
 
 
 def _requested(length: int, hot: bool, repeats: bool = False):
-    """Of each document the requested blocks with their bytes, or (``hot``) the hash of each window;
+    """Of each row the requested blocks with their bytes, or (``hot``) the hash of each window;
     with ``repeats`` the intervals that the batch's own windows settle."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         codec = zstandard.ZstdDecompressor()
-        docs, starts, sizes, grams, data = [], [], [], [], []
-        for doc, packed, wanted in zip(*(c.to_pylist() for c in batch.columns)):
+        docs, keys, starts, grams, data = [], [], [], [], []
+        for doc, key, packed, wanted in zip(*(c.to_pylist() for c in batch.columns)):
             text = codec.decompress(packed)
             for w in wanted:
                 docs.append(doc)
+                keys.append(key)
                 starts.append(w["start"])
                 grams.append(w["gram"])
                 data.append(text[w["start"]:w["end"]])
@@ -236,58 +243,58 @@ def _requested(length: int, hot: bool, repeats: bool = False):
             return None
         if not hot:
             return pa.RecordBatch.from_arrays(
-                [pa.array(grams, pa.int64()), pa.array(docs, pa.int64()), pa.array(starts, pa.int64()),
-                 pa.array(data, pa.binary())], ["gram", "doc", "start", "data"])
+                [pa.array(grams, pa.int64()), pa.array(docs, pa.int64()), pa.array(keys, pa.int64()),
+                 pa.array(starts, pa.int64()), pa.array(data, pa.binary())], ["gram", "doc", "key", "start", "data"])
         sizes = np.array([len(x) for x in data], np.int64)
         which, offset = _windows(sizes, length)
         at = (np.cumsum(sizes) - sizes)[which] + offset
         h = Hashes(np.frombuffer(b"".join(data), np.uint8))(at, at + length).view(np.int64)
-        doc, start = np.array(docs, np.int64)[which], np.array(starts, np.int64)[which] + offset
-        order, head, later = _not_first(h, doc=doc, start=start)
+        doc, key = np.array(docs, np.int64)[which], np.array(keys, np.int64)[which]
+        start = np.array(starts, np.int64)[which] + offset
         if repeats:
-            at = order[later]
-            return _intervals(*merged(doc[at], start[at], start[at] + length))
+            return _intervals(*_window_repeats(h, place=(doc, key, start), length=length))
+        order, head, _ = _not_first(h, place=(doc, key, start))
         at = order[head]
-        return pa.RecordBatch.from_arrays([pa.array(x[at], pa.int64()) for x in (h, doc, start)],
-                                          ["window", "doc", "start"])
+        return _longs(window=h[at], doc=doc[at], key=key[at], start=start[at])
 
     return run
 
 
 def repeated_intervals(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
                        hot_blocks: int = HOT_BLOCKS) -> DataFrame:
-    """(doc, start, end) in bytes: intervals whose union is what repeats. ``docs``: doc long, text."""
+    """(doc, key, start, end) in bytes: intervals whose union is what repeats. ``docs``: doc long, key long
+    (a hash of the text), text."""
     settled = stored(_sorted_runs(_block_rows(docs, length, gram, False), "gram", _settle,
-                                  "doc long, start long, end long, gram long, contents long",
-                                  "block", "doc", "start"), "settled")
-    whole = settled.where("contents = 0").select("doc", "start", "end")
-    wanted = settled.where("contents > 0").groupBy("doc").agg(
+                                  "doc long, key long, start long, end long, gram long, contents long",
+                                  "block", "doc", "key", "start"), "settled")
+    whole = settled.where("contents = 0").select("doc", "key", "start", "end")
+    wanted = settled.where("contents > 0").groupBy("doc", "key").agg(
         F.collect_list(F.when(F.col("contents") <= hot_blocks, F.struct("start", "end", "gram"))).alias("some"),
         F.collect_list(F.when(F.col("contents") > hot_blocks, F.struct("start", "end", "gram"))).alias("hot"))
-    wanted = stored(map_batches(docs, _pack, "d long, packed binary").join(wanted, F.col("d") == F.col("doc"))
-                    .select("doc", "packed", "some", "hot"), "requested")
-    by_gram = map_batches(wanted.where(F.size("some") > 0).select("doc", "packed", "some"),
-                          _requested(length, False), "gram long, doc long, start long, data binary")
+    wanted = stored(map_batches(docs, _pack, _PACKED).join(wanted, ["doc", "key"])
+                    .select("doc", "key", "packed", "some", "hot"), "requested")
+    by_gram = map_batches(wanted.where(F.size("some") > 0).select("doc", "key", "packed", "some"),
+                          _requested(length, False), "gram long, doc long, key long, start long, data binary")
     parts = _sorted_runs(by_gram, "gram", _compare(length), _INTERVALS)
-    busy = wanted.where(F.size("hot") > 0).select("doc", "packed", "hot")
-    windows = map_batches(busy, _requested(length, True), "window long, doc long, start long")
-    parts2 = _sorted_runs(windows, "window", lambda b: _later_windows(b, length), _INTERVALS, "doc", "start")
+    busy = wanted.where(F.size("hot") > 0).select("doc", "key", "packed", "hot")
+    windows = map_batches(busy, _requested(length, True), "window long, doc long, key long, start long")
+    parts2 = _sorted_runs(windows, "window", lambda b: _later_windows(b, length), _INTERVALS, "doc", "key", "start")
     local = map_batches(busy, _requested(length, True, True), _INTERVALS)
     return _block_rows(docs, length, gram, True).union(whole).union(parts).union(parts2).union(local)
 
 
 def _later_windows(batch: pa.RecordBatch, length: int) -> Iterator[pa.RecordBatch]:
-    h, doc, start = (np.asarray(c) for c in batch.columns)
-    order, _, later = _not_first(h, doc=doc, start=start)
-    at = order[later]
-    yield _intervals(*merged(doc[at], start[at], start[at] + length))
+    h, *place = (np.asarray(c) for c in batch.columns)
+    yield _intervals(*_window_repeats(h, place=tuple(place), length=length))
+
+
+_PACKED = "doc long, key long, packed binary"
 
 
 def _pack(batch: pa.RecordBatch) -> pa.RecordBatch:
     codec = zstandard.ZstdCompressor(level=3)
-    return pa.RecordBatch.from_arrays(
-        [batch.column(0), pa.array([codec.compress(t.encode()) for t in batch.column(1).to_pylist()], pa.binary())],
-        ["d", "packed"])
+    packed = pa.array([codec.compress(t.encode()) for t in batch.column(2).to_pylist()], pa.binary())
+    return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed], ["doc", "key", "packed"])
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
@@ -295,12 +302,13 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes), kept_sha256."""
     if not 0 < gram <= length:
         raise ValueError("gram must be between 1 and length")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("doc"),
-                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    found = repeated_intervals(docs, length, gram, hot_blocks).groupBy("doc").agg(
+                     F.xxhash64(text).alias("key"), text.alias("text"))
+    found = repeated_intervals(docs, length, gram, hot_blocks).groupBy("doc", "key").agg(
         F.collect_list(F.struct("start", "end")).alias("cuts"))
-    rows = map_batches(docs, _pack, "d long, packed binary").join(found, F.col("d") == F.col("doc"), "left")
-    out = map_batches(rows.select("d", "packed", "cuts"), _cut,
+    rows = map_batches(docs, _pack, _PACKED).join(found, ["doc", "key"], "left")
+    out = map_batches(rows.select("doc", "packed", "cuts"), _cut,
                       "doc long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string", 200)
     return out.select(F.when(F.col("doc") != LOWEST, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed",
                       "n_spans", "kept", "kept_sha256")
@@ -314,7 +322,8 @@ def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept, spans = text, 0
         if cuts:
             start, end = (np.array([c[k] for c in cuts], np.int64) for k in ("start", "end"))
-            _, start, end = merged(np.zeros(len(start), np.int64), start, end)
+            none = np.zeros(len(start), np.int64)
+            _, _, start, end = merged(none, none, start, end)
             spans = len(start)
             kept = b"".join(text[a:b] for a, b in zip([0, *end.tolist()], [*start.tolist(), len(text)]))
         out.append({"doc": doc, "n_bytes": len(text), "n_removed": len(text) - len(kept), "n_spans": spans,

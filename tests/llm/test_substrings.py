@@ -55,3 +55,35 @@ def test_one_letter_text_twins_and_null_ids(spark):
 
 def test_empty_table(empty):
     assert result(empty) == []
+
+
+def brute_by_row(rows, length):
+    """Each row by its own repeats. ``rows``: id, text, hash of the text; equal rows are one place."""
+    low = -(1 << 63)
+    data = [((low if d is None else d, key), (t or "").encode()) for d, t, key in rows]
+    first = {}
+    for place, b in data:
+        for i in range(len(b) - length + 1):
+            w = b[i:i + length]
+            first[w] = min(first.get(w, (place, i)), (place, i))
+    out = []
+    for (place, b), (raw, _, _) in zip(data, rows):
+        gone = set()
+        for i in range(len(b) - length + 1):
+            if first[b[i:i + length]] < (place, i):
+                gone.update(range(i, i + length))
+        kept = bytes(c for i, c in enumerate(b) if i not in gone)
+        out.append((raw, len(b), len(gone), sum(1 for i in gone if i - 1 not in gone),
+                    hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("hot", [2000, 1])
+def test_rows_with_one_id_are_cut_by_their_own_repeats(spark, hot):
+    shared, own = "a passage that two rows share " * 2, [f"row {i} has bytes of its own {i * 977} " for i in range(9)]
+    rows = [(None, own[0] + shared), (None, own[1] + shared + own[2]), (None, shared + own[3]), (None, own[4] * 3),
+            (7, own[5] + shared), (7, own[6] + shared), (7, own[7] * 2 + own[8]), (7, own[5] + shared), (7, None)]
+    rows += [(None if i % 3 else i % 4, t) for i, t in enumerate(make_texts(5, 18)) if t is None or len(t) < 2000]
+    df = frame(spark, rows).repartition(4).cache()
+    hashed = [tuple(r) for r in df.selectExpr("doc_id", "text", "xxhash64(coalesce(text, ''))").collect()]
+    assert result(df, length=20, gram=10, hot_blocks=hot) == brute_by_row(hashed, 20)
