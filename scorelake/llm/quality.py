@@ -9,7 +9,8 @@ labels trains a linear scorer over hashed character-shape trigrams, which then
 scores every whole document.
 
 Defined results: null and empty texts have score 0 and are rejected (nothing
-to keep); texts of any length are scored whole; repeated rows score equally;
+to keep); word length is in code points, over words in scripts that put spaces
+between words, and not judged where those are the smaller part; texts of any length are scored whole; repeated rows score equally;
 an empty table gives an empty result; a corpus that is all of one kind trains
 a constant scorer and then the posterior alone decides.
 """
@@ -44,6 +45,13 @@ _LETTER = (_SHAPE == ord("a")) | (_SHAPE == ord("A"))
 _PLAIN = _LETTER | (_SHAPE == ord("0")) | (_SHAPE == ord(" ")) | np.isin(
     np.arange(256), np.frombuffer(b".,;:'\"?()-", np.uint8))
 
+# First two UTF-8 bytes of characters in scripts without spaces between words: Thai, Lao, Tibetan, Myanmar, Khmer,
+# Tai Le to Khmer symbols, kana, Han (also extensions and full width).
+_SPACELESS = np.zeros(1 << 16, bool)
+for _low, _high in ((0xE0B8, 0xE0BF), (0xE180, 0xE181), (0xE19E, 0xE19F), (0xE1A5, 0xE1A7), (0xE380, 0xE383),
+                    (0xE387, 0xE387), (0xE390, 0xE9BF), (0xEFA4, 0xEFAB), (0xEFBC, 0xEFBE), (0xF0A0, 0xF0BF)):
+    _SPACELESS[_low:_high + 1] = True
+
 #: name, feature, good up to (or from), bad from (or up to): the votes, on fixed bounds.
 LABELLERS = (
     ("symbols", "symbol_share", 0.02, 0.06),
@@ -84,7 +92,7 @@ def features(block: Block) -> dict[str, np.ndarray]:
     odd_total = np.concatenate(([0], np.cumsum(odd)))
     odd_word = (odd_total[ends] - odd_total[starts]) > 0
     rows = row_of(first)
-    length = np.bincount(rows, ends - starts, block.rows) / np.maximum(np.diff(first), 1)
+    length, spaced = _word_length(data, starts, ends, rows, block.rows)
     same = np.zeros(block.rows)
     line_end = data == 0x0A
     many = np.flatnonzero(count(line_end) >= 3)
@@ -99,13 +107,28 @@ def features(block: Block) -> dict[str, np.ndarray]:
         "bars_per_word": count(data == ord("|")) / words,
         "non_letter_share": others / np.maximum(visible, LEAST_CHARS),
         "same_line_share": same,
-        "word_length_off": np.abs(length - 5.5) * np.minimum(1, np.diff(first) / LEAST_WORDS),
+        "word_length_off": np.abs(length - 5.5) * np.minimum(1, spaced / LEAST_WORDS),
         "same_word_share": np.bincount(rows[lag == 1], minlength=block.rows) / words,
         "echo_share": np.bincount(rows[lag > 0], minlength=block.rows) / words,
         "words": np.diff(first),
     }
 
 
+def _word_length(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray, n: int):
+    """Per row (mean code points, number) of the words without characters of scripts without spaces; the mean
+    is NaN, which no labeller votes on, where these words hold less than half of the code points."""
+    point = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+    pair = np.zeros(len(data), np.uint16)
+    pair[:-1] = (data[:-1].astype(np.uint16) << np.uint16(8)) | data[1:]
+    dense = np.concatenate(([0], np.cumsum(_SPACELESS[pair])))
+    points, apart = point[ends] - point[starts], dense[ends] == dense[starts]
+    spaced = np.bincount(rows[apart], minlength=n)
+    total = np.bincount(rows[apart], points[apart], n)
+    length = total / np.maximum(spaced, 1)
+    length[2 * total < np.bincount(rows, points, n)] = np.nan
+    return length, spaced
+
+
 def word_lags(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """How many words back the same word last stood in its row (0: not among the last LAGS)."""
     out = np.zeros(len(hashes), np.int64)

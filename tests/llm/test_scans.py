@@ -248,3 +248,36 @@ def test_no_byte_of_a_private_key_is_left(spark):
                    "the line [secret] opens a key"]
     assert {b"---", b"beg", b"pri", b"key"} <= S.query_trigrams(S.trigram_query(dict(
         (r.kind, r.pattern) for r in S.RULES)["private_key"]))
+
+
+def foreign_texts(n):
+    """Clean texts in Han, kana, Thai, Devanagari, Cyrillic and Greek letters, by turns."""
+    import random
+    rnd = random.Random(4)
+    scripts = [(0x4E00, 0x5E00, 0, "。"), (0x3042, 0x3090, 0, "。"), (0x0E01, 0x0E2E, 30, " "),
+               (0x0905, 0x0939, 5, "।"), (0x0430, 0x044F, 7, "."), (0x03B1, 0x03C9, 7, ".")]
+    out = []
+    for i in range(n):
+        low, high, word, stop = scripts[i % len(scripts)]
+        size = (lambda: rnd.randint(12, 30)) if not word else (lambda: rnd.randint(max(2, word - 4), word + 4))
+        glue = "" if not word else " "
+        out.append("".join(glue.join("".join(chr(rnd.randint(low, high)) for _ in range(size()))
+                                     for _ in range(rnd.randint(6, 14))) + stop + glue for _ in range(8)))
+    return out
+
+
+def test_word_length_counts_code_points_and_not_scripts_without_spaces():
+    texts = foreign_texts(24) + ["x" * 40 + " " + "y" * 60, "word " * 40 + "漢字" * 20, "words of ascii letters " * 12]
+    column = [j for j, v in enumerate(Q.LABELLERS) if v[0] == "word_length"][0]
+    got = Q.votes(Block(pa.array(texts)))[:, column]
+    assert got[:24].tolist() == [Q.ABSTAIN, Q.ABSTAIN, Q.ABSTAIN, Q.GOOD, Q.GOOD, Q.GOOD] * 4
+    assert got[24:].tolist() == [Q.GOOD, Q.GOOD, Q.GOOD]  # two words are too few to judge
+    assert Q.votes(Block(pa.array([("z" * 40 + " ") * 40])))[0, column] == Q.BAD
+
+
+def test_clean_texts_in_other_scripts_stay(spark):
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{SMALL}/documents.parquet' ORDER BY doc_id LIMIT 2000").fetchall()
+    other = foreign_texts(len(rows) // 2)  # a third of all rows
+    df = frame(spark, rows + [(-1 - i, t) for i, t in enumerate(other)]).repartition(4)
+    got = {r.doc_id: r.keep for r in Q.classify(df, Q.train(df)).collect()}
+    assert sum(got[-1 - i] for i in range(len(other))) >= 0.99 * len(other)
