@@ -8,7 +8,10 @@ vectorised pass, filtered by a bitmap, looked up, and each hit is verified
 against the window's own words before it counts.
 
 Defined results: null texts have no words; an item without words never
-matches; items that share a window are all reported; repeated rows give equal
+matches; items without text are none; an item without id is searched like any
+other (its hits count and contaminate), is left out of the list of items and sets
+``unnamed``, as all items without id are one more item;
+items that share a window are all reported; repeated rows give equal
 rows; an empty benchmark contaminates nothing.
 """
 
@@ -67,7 +70,8 @@ def benchmark_windows(items: DataFrame, width: int = WIDTH, id_col: str = "item_
         return pa.RecordBatch.from_pylist(out, pa.schema([("hash", pa.int64()), ("width", pa.int32()),
                                                           ("words", pa.binary()), ("item", pa.string())]))
 
-    src = items.select(F.col(id_col).cast("string"), F.col(text_col).cast("string")).na.drop()
+    src = items.select(F.col(id_col).cast("string"), F.col(text_col).cast("string").alias("__text")).where(
+        F.col("__text").isNotNull())
     return map_batches(src, run, "hash long, width int, words binary, item string").distinct()
 
 
@@ -111,7 +115,7 @@ def _mark(block: Block, windows: _Set):
 def scan(df: DataFrame, items: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
          text_col: str = "text", block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """Per row: doc_id, n_words, ``hit_words`` (runs of hit word numbers), ``spans`` (the same
-    runs in code points), n_hit, ``items`` (sorted strings)."""
+    runs in code points), n_hit, ``items`` (sorted strings), ``unnamed`` (an item without id hit)."""
     src = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("__text"))
     return _marked(src, items, width, block_windows).drop("__text")
 
@@ -122,7 +126,7 @@ def _marked(src: DataFrame, items: DataFrame, width: int, block_windows: int) ->
     run_type = "array<struct<start:long,end:long>>"
     out = src.select("*", F.lit(0).cast("long").alias("n_words"), F.array().cast(run_type).alias("hit_words"),
                      F.array().cast(run_type).alias("spans"), F.lit(0).cast("long").alias("n_hit"),
-                     F.array().cast("array<string>").alias("items"))
+                     F.array().cast("array<string>").alias("items"), F.lit(False).alias("unnamed"))
     for k in range(blocks):
         part = [tuple(r) for r in windows.where(F.pmod("hash", F.lit(blocks)) == k)
                 .select("hash", "width", "words", "item").collect()]
@@ -138,6 +142,7 @@ def _scan_block(batch: pa.RecordBatch, windows: _Set) -> pa.RecordBatch:
     block = Block(batch.column(at["__text"]))
     hit, items, starts, ends, first = _mark(block, windows)
     before, had = batch.column(at["hit_words"]).to_pylist(), batch.column(at["items"]).to_pylist()
+    unnamed = batch.column(at["unnamed"]).to_pylist()
     for row, runs in enumerate(before):
         for r in runs:
             hit[first[row] + r["start"]:first[row] + r["end"]] = True
@@ -158,10 +163,11 @@ def _scan_block(batch: pa.RecordBatch, windows: _Set) -> pa.RecordBatch:
                              "end": int(points[ends[a + e - 1]] - zero)})
         words.append(runs)
         spans.append(cuts)
-        names.append(sorted(items.get(row, set()) | set(had[row])))
+        unnamed[row] |= None in items.get(row, set())
+        names.append(sorted((items.get(row, set()) | set(had[row])) - {None}))
     new = {"n_words": pa.array(np.diff(first), pa.int64()), "hit_words": pa.array(words, pa.list_(_SPAN)),
            "spans": pa.array(spans, pa.list_(_SPAN)), "n_hit": pa.array(n_hit, pa.int64()),
-           "items": pa.array(names, pa.list_(pa.string()))}
+           "items": pa.array(names, pa.list_(pa.string())), "unnamed": pa.array(unnamed, pa.bool_())}
     return pa.RecordBatch.from_arrays([new.get(n, batch.column(i)) for n, i in at.items()], list(at))
 
 

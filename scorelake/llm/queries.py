@@ -50,7 +50,8 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+    n_items = F.size("items").cast("long") + F.col("unnamed").cast("long")
+    return found.select("doc_id", "n_words", "n_hit", n_items.alias("n_items"),
                         joined_sha(F.col("items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 

@@ -281,3 +281,13 @@ def test_clean_texts_in_other_scripts_stay(spark):
     df = frame(spark, rows + [(-1 - i, t) for i, t in enumerate(other)]).repartition(4)
     got = {r.doc_id: r.keep for r in Q.classify(df, Q.train(df)).collect()}
     assert sum(got[-1 - i] for i in range(len(other))) >= 0.99 * len(other)
+
+
+@pytest.mark.parametrize("block", [D.BLOCK_WINDOWS, 1])
+def test_benchmark_items_without_id_are_searched(spark, block):
+    items = spark.createDataFrame([(None, "alpha beta gamma"), (None, None), (8, "beta gamma"), (None, "delta")],
+                                  "item_id long, text string")
+    docs = frame(spark, [(1, "x alpha beta gamma y"), (2, "delta"), (3, "clean")])
+    got = {r.doc_id: (r.n_hit, r["items"], r.unnamed) for r in D.scan(docs, items, block_windows=block).collect()}
+    assert got == {1: (3, ["8"], True), 2: (1, [], True), 3: (0, [], False)}
+    assert [r.doc_id for r in D.decontaminate(docs, items).collect()] == [3]
