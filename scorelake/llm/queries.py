@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelake.llm import (chat, contexttree, decontaminate, fingerprint, langid, mixing, ngramjoin, quality,
-                           secrets, substrings)
+from scorelake.llm import (chat, contexttree, decontaminate, divergence, fingerprint, langid, merkle, mixing, ngramjoin,
+                           quality, secrets, substrings, toxicity)
 from scorelake.llm.store import table
 
 
@@ -94,9 +94,27 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.train(docs))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold("doc_id", 5) == 0
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out)
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.classify(docs, machine, carry=("held_out",))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 3 == 0
+    altered = {"text": merkle.lowered(F.col("text"), tampered)}
+    return merkle.verify(merkle.build(table(spark, sf_dir, "documents"), altered=altered))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_language_id, op3_chat_formatting, op4_benchmark_decontamination, op5_lm_scoring,
-    op6_source_mixing, op7_secret_scan, op8_document_fingerprints, op9_suffix_array_dedup, op10_quality_classifier)}
+    op6_source_mixing, op7_secret_scan, op8_document_fingerprints, op9_suffix_array_dedup, op10_quality_classifier,
+    op11_toxicity, op12_merkle_manifest, op13_source_divergence)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _CONTROL = chat.CONTROL.replace("'", "''")
@@ -179,4 +197,91 @@ k AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY bucket, size, do
   FROM r)
 SELECT doc_id, size, source_size, target, CAST(size * least(
   floor(place * rate + offs) - floor((place - 1) * rate + offs), {mixing.MOST_COPIES}) AS BIGINT) AS taken FROM k""",
+    "op12_merkle_manifest": rf"""
+WITH RECURSIVE c AS (
+  SELECT doc_id, source, lang, n_chars, text, xor(4294967295, list_reduce(
+    [CAST(4294967295 AS BIGINT)] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda h, i: CASE WHEN h & 1 = 1 THEN xor(h >> 1, 3988292384) ELSE h >> 1 END))) AS crc FROM documents),
+e AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS home, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+    || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+    || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+    text, CASE WHEN crc % 3 = 0 THEN {_LOWER.format("text")} ELSE text END AS altered FROM c),
+d AS MATERIALIZED (
+  SELECT doc_id, home, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(altered) || ':' || altered, '-')) AS folded FROM e),
+o AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY home ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY home) AS n FROM d),
+l AS (
+  SELECT home, 0 AS level, idx, n, leaf AS digest FROM o
+  UNION ALL
+  SELECT home, level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM l WHERE n > 1 GROUP BY home, level, idx // 8, n),
+s AS MATERIALIZED (
+  SELECT home, digest, row_number() OVER (ORDER BY home) - 1 AS idx, count(*) OVER () AS n FROM l WHERE n = 1),
+t AS (
+  SELECT 0 AS level, idx, n, digest FROM s
+  UNION ALL
+  SELECT level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM t WHERE n > 1 GROUP BY level, idx // 8, n),
+r AS MATERIALIZED (
+  SELECT home, level, idx // 8 AS run, string_agg(digest, '' ORDER BY idx) AS kids FROM l WHERE n > 1
+  GROUP BY home, level, idx // 8),
+q AS MATERIALIZED (
+  SELECT level, idx // 8 AS run, string_agg(digest, '' ORDER BY idx) AS kids FROM t WHERE n > 1 GROUP BY level, idx // 8),
+u AS (
+  SELECT home, idx AS no, 0 AS level, idx, folded, '' AS proof FROM o
+  UNION ALL
+  SELECT u.home, no, u.level + 1, idx // 8,
+    sha256(left(kids, 64 * (idx % 8)) || folded || substr(kids, 64 * (idx % 8) + 65)),
+    proof || left(kids, 64 * (idx % 8)) || substr(kids, 64 * (idx % 8) + 65)
+  FROM u JOIN r ON u.home = r.home AND u.level = r.level AND u.idx // 8 = r.run),
+v AS (
+  SELECT home, no, 0 AS level, s.idx, folded, proof, digest AS subroot FROM (
+    SELECT home, no, arg_max(folded, level) AS folded, arg_max(proof, level) AS proof FROM u GROUP BY home, no)
+    JOIN s USING (home)
+  UNION ALL
+  SELECT v.home, no, v.level + 1, idx // 8,
+    sha256(left(kids, 64 * (idx % 8)) || folded || substr(kids, 64 * (idx % 8) + 65)),
+    proof || left(kids, 64 * (idx % 8)) || substr(kids, 64 * (idx % 8) + 65), subroot
+  FROM v JOIN q ON v.level = q.level AND v.idx // 8 = q.run),
+w AS (SELECT home, no, arg_max(folded, level) AS folded_root, arg_max(proof, level) AS proof, any_value(subroot) AS subroot
+  FROM v GROUP BY home, no),
+z AS (SELECT digest AS root FROM t WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM w JOIN o ON w.home = o.home AND w.no = o.idx CROSS JOIN z""",
+    "op13_source_divergence": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS no, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+w AS MATERIALIZED (
+  SELECT lang, source, no, term, count(*) AS n FROM (SELECT lang, source, no, unnest(words) AS term FROM d)
+  GROUP BY lang, source, no, term),
+k AS MATERIALIZED (
+  SELECT lang, term, CAST(sum(n) AS HUGEINT) AS total FROM w GROUP BY lang, term HAVING count(*) >= 10),
+c AS MATERIALIZED (
+  SELECT w.lang, source, w.term, CAST(sum(n) AS HUGEINT) AS n FROM w JOIN k ON w.lang = k.lang AND w.term = k.term
+  GROUP BY w.lang, source, w.term),
+g AS MATERIALIZED (
+  SELECT lang, source, coalesce(size, 0) AS size FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, source, sum(n) AS size FROM c GROUP BY lang, source) USING (lang, source)),
+v AS MATERIALIZED (SELECT lang, sum(total) AS size, count(*) AS v FROM k GROUP BY lang),
+p AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 2) // (g.size + 2 * v.v) AS p,
+    1 + CAST(1000000000 AS HUGEINT) * (k.total + 2) // (v.size + 2 * v.v) AS q
+  FROM g JOIN v ON g.lang = v.lang JOIN k ON g.lang = k.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+x AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS f
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT) FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM x)
+SELECT * FROM r WHERE part = 'pair' OR rank <= 10""",
 }

@@ -21,6 +21,9 @@ NOT_SPACE = ~ASCII_SPACE
 ALNUM = np.zeros(256, bool)
 for _lo, _hi in ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)):
     ALNUM[_lo:_hi + 1] = True
+#: Letters alone: ASCII letters and all non-ASCII bytes.
+LETTERS = ALNUM.copy()
+LETTERS[0x30:0x3A] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
