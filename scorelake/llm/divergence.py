@@ -35,6 +35,7 @@ bytes; an empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -106,14 +107,15 @@ def _plain(df: DataFrame, lang_col: str, source_col: str, *more: Column) -> Data
                        for c, a in ((lang_col, "lang"), (source_col, "source"))), *more)
 
 
-def kept_terms(df: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text") -> DataFrame:
+def kept_terms(df: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text",
+               least_docs: int = LEAST_DOCS) -> DataFrame:
     """lang, term, total (occurrences in the language) and held (source, n): one row a kept term."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")
     seen = map_arrow(_plain(df, lang_col, source_col, text), _count, _COUNTS).groupBy("lang", "source", "term").agg(
         F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     return seen.groupBy("lang", "term").agg(
         F.sum("n").alias("total"), F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("held")
-    ).where(F.col("docs") >= LEAST_DOCS).drop("docs")
+    ).where(F.col("docs") >= least_docs).drop("docs")
 
 
 def group_sizes(df: DataFrame, kept: DataFrame, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -167,11 +169,10 @@ def shares(count: np.ndarray, size: np.ndarray) -> np.ndarray:
 class _Sums:
     """f added up for the pairs of two tiles of one language."""
 
-    def __init__(self, key: tuple, sources: pa.Array, sizes: np.ndarray, terms: int):
+    def __init__(self, key: tuple, sources: pa.Array, sizes: np.ndarray, terms: int, tile: int):
         self.key, self.sources = key, sources
         self.size = sizes + 2 * terms
-        self.left = np.arange(key[1] * TILE, min((key[1] + 1) * TILE, len(sources)))
-        self.right = np.arange(key[2] * TILE, min((key[2] + 1) * TILE, len(sources)))
+        self.left, self.right = (np.arange(k * tile, min((k + 1) * tile, len(sources))) for k in key[1:])
         self.total = np.zeros((len(self.left), len(self.right)), np.int64)
 
     def add(self, held: pa.ListArray) -> None:
@@ -202,7 +203,7 @@ class _Sums:
                                              ["lang", "source", "item", "value"])
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], tile: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (lang, i, j, salt, terms): a salt's first row names the sources, with their N in ``n`` and V
     in ``terms``; the others are terms (``terms`` is null)."""
     sums: _Sums | None = None
@@ -216,7 +217,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if sums is not None:
                         yield from sums.rows()
                     named = batch.column("held").slice(s, 1).flatten()
-                    sums = _Sums(key, named.field("source"), np.asarray(named.field("n")), batch.column("terms")[s].as_py())
+                    sums = _Sums(key, named.field("source"), np.asarray(named.field("n")),
+                                 batch.column("terms")[s].as_py(), tile)
                 s += 1
             for at in range(s, e, MATRIX_TERMS):
                 sums.add(batch.column("held").slice(at, min(MATRIX_TERMS, e - at)))
@@ -224,12 +226,12 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from sums.rows()
 
 
-def pair_ranks(kept: DataFrame, groups: DataFrame) -> DataFrame:
+def pair_ranks(kept: DataFrame, groups: DataFrame, tile: int = TILE) -> DataFrame:
     """lang, source, item (another source), value (f over all kept terms), rank."""
     n = int(kept.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     langs = groups.groupBy("lang").agg(
         F.first("terms").alias("v"), F.array_sort(F.collect_list(F.struct("source", F.col("size").alias("n")))).alias("held"))
-    last = F.floor((F.size("held") - 1) / TILE).cast("int")
+    last = F.floor((F.size("held") - 1) / tile).cast("int")
     langs = stored(langs.withColumn("last", last).withColumn(
         "salts", F.greatest(F.lit(1), F.ceil(F.col("v") / SALT_TERMS))), "languages")
 
@@ -245,16 +247,17 @@ def pair_ranks(kept: DataFrame, groups: DataFrame) -> DataFrame:
         "terms", F.lit(None).cast("long")))
     keys = ["lang", "i", "j", "salt"]
     rows = heads.union(terms).repartition(n, *keys).sortWithinPartitions(*keys, F.col("terms").desc_nulls_last())
-    found = map_arrow(rows, _compare, "lang string, source string, item string, value long")
+    found = map_arrow(rows, partial(_compare, tile=tile), "lang string, source string, item string, value long")
     found = found.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
     rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item"))
     return found.withColumn("rank", rank)
 
 
-def audit(df: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text") -> DataFrame:
+def audit(df: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text",
+          least_docs: int = LEAST_DOCS, tile: int = TILE) -> DataFrame:
     """lang, source, part (``pair`` or ``term``), item, value, rank."""
-    kept = stored(kept_terms(df, lang_col, source_col, text_col), "kept")
+    kept = stored(kept_terms(df, lang_col, source_col, text_col, least_docs), "kept")
     groups = stored(group_sizes(df, kept, lang_col, source_col), "groups")
     columns = ["lang", "source", "part", "item", "value", "rank"]
-    return pair_ranks(kept, groups).withColumn("part", F.lit("pair")).select(*columns).unionByName(
+    return pair_ranks(kept, groups, tile).withColumn("part", F.lit("pair")).select(*columns).unionByName(
         term_ranks(kept, groups).withColumn("part", F.lit("term")).select(*columns))
