@@ -15,12 +15,18 @@ sets of a band share. So no link is lost.
 
 Texts with equal sets are one class from the start. Signatures held by two or
 more classes are buckets; signatures with the same members are one bucket, named
-by the hash of its members. In each bucket the members are compared with one
-centre (the class in most buckets); links merge classes into components; only
-members of different components are compared further, in a second centre round
-and then pair by pair, so a group of copies is never expanded into all pairs.
-Candidates first pass a parity sketch (a lower bound of the symmetric
-difference, so no true link fails it), then the exact comparison of the sets.
+by the hash of its members. Members of a bucket are first compared with one
+centre (the class in most buckets); links merge classes into components. What is
+left are buckets whose members lie in different components. Those are cut into
+blocks of about ``BLOCK`` members, dealt as pairs of blocks, so a task holds two
+blocks however large the bucket. Of the pairs of members that sizes and a parity
+sketch allow (a lower bound of the symmetric difference, so no true link fails
+it), a block pair first offers only a spanning forest over components; links
+found so merge components, and a last round offers every pair still apart. A
+pair that shares several buckets is offered by the smallest one alone (members
+carry their buckets), so no candidate is repeated and a group of copies is never
+expanded into all pairs. Candidates pass the exact comparison of the sets.
+``class_links`` skips the components and returns every link between classes.
 
 Defined results: a text with fewer words than a shingle is one shingle; null
 and empty texts have no set and stand alone; repeated rows are copies; null
@@ -29,6 +35,8 @@ ids never name a component.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -43,6 +51,8 @@ WIDTH = 5
 PART, PER = 75, 100
 #: Ranges of a band per element of its largest set.
 RANGES = 0.34
+#: Members of a bucket that a task compares with as many others at once.
+BLOCK = 1024
 _edges: dict[int, np.ndarray] = {}
 
 
@@ -184,23 +194,30 @@ def _signature_rows(src: DataFrame) -> DataFrame:
     return map_batches(src, run, "sig long, set long", state=set)
 
 
-def _runs(frame: DataFrame, fn, schema: str) -> DataFrame:
-    """Apply ``fn`` to whole runs of equal ``sig`` (first column) of a frame sorted by it.
+def _runs(frame: DataFrame, fn, keys: int, schema: str) -> DataFrame:
+    """Apply ``fn`` to whole runs of equal values in the first ``keys`` columns of a frame sorted by them.
 
-    A batch is cut at the last change of the signature; what follows waits for the next batch."""
+    A batch is cut at the last change; what follows is kept aside until the run ends."""
 
     def run(batches):
-        held = None
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            if held is not None:
-                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            sig = np.asarray(batch.column(0))
-            last = int(np.flatnonzero(sig != sig[-1])[-1]) + 1 if len(sig) and sig[0] != sig[-1] else 0
-            held = batch.slice(last)
-            if last:
-                yield from fn(batch.slice(0, last))
-        if held is not None and held.num_rows:
-            yield from fn(held)
+            if not batch.num_rows:
+                continue
+            key = np.stack([np.asarray(batch.column(k)) for k in range(keys)])
+            change = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
+            if held:
+                before = [held[-1].column(k)[-1].as_py() for k in range(keys)]
+                if before != key[:, 0].tolist():
+                    change = np.append(0, change)
+            if len(change):
+                done = [*held, batch.slice(0, int(change[-1]))]
+                held = []
+                yield from fn(pa.Table.from_batches(done).combine_chunks().to_batches()[0])
+                batch = batch.slice(int(change[-1]))
+            held.append(batch)
+        if held:
+            yield from fn(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
     return map_arrow(frame, run, schema)
 
@@ -231,41 +248,83 @@ def _shared(batch: pa.RecordBatch):
         yield pa.RecordBatch.from_arrays([pa.array(bucket[keep]), pa.array(ids[keep])], ["sig", "set"])
 
 
-def _centres(batch: pa.RecordBatch):
-    """(a, b): the centre (first) of each signature and each member of another component."""
-    sig, ids, comp = (np.asarray(batch.column(i)) for i in (0, 1, 2))
-    start = _starts(sig)
-    first = np.repeat(start, np.diff(np.append(start, len(sig))))
-    keep = comp != comp[first]
-    if keep.any():
-        yield pa.RecordBatch.from_arrays([pa.array(ids[first][keep]), pa.array(ids[keep])], ["a", "b"])
+def _centres(batches):
+    """(a, b): the centre (first) of each signature and each member of another component; rows stream by."""
+    centre = (None, None, None)
+    for batch in batches:
+        sig, ids, comp = (np.asarray(batch.column(i)) for i in (0, 1, 2))
+        start = _starts(sig)
+        if len(start) and centre[0] == sig[0]:
+            start = start[1:]
+        edge = np.append(np.append(0, start), len(sig)) if len(sig) else np.zeros(1, np.int64)
+        for s, e in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            if s == e:
+                continue
+            if centre[0] != sig[s]:
+                centre = (sig[s], ids[s], comp[s])
+            other = ids[s:e][comp[s:e] != centre[2]]
+            if len(other):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(other), centre[1])), pa.array(other)], ["a", "b"])
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """(sig, set, comp, members) of the signatures whose members are in two or more components."""
+    held = rows.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
+                                   F.count(F.lit(1)).alias("members"))
+    return rows.join(held.where("low <> high").select("sig", "members"), "sig")
+
+
+def _block_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """The members of mixed buckets, each with its size, sketch and buckets, dealt to every pair of blocks it is in."""
+    owned = rows.groupBy("set", "comp").agg(F.array_sort(F.collect_list(F.struct("sig", "members"))).alias("own"))
+    owned = owned.join(classes.select("set", "n", "sketch"), "set").select(
+        "set", "comp", "n", "sketch", F.col("own.sig").alias("sigs"), F.explode("own").alias("o"))
+    blocks = F.ceil(F.col("o.members") / BLOCK).cast("int")
+    dealt = owned.select("*", blocks.alias("blocks"), F.pmod(F.xxhash64(F.lit("block"), "set"), blocks).cast("int").alias(
+        "block")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.select(
+        F.col("o.sig").alias("sig"), F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block",
+        "set", "comp", "n", "sketch", "sigs").repartition(n, "sig", "i", "j").sortWithinPartitions("sig", "i", "j", "set")
+
+
+def _cross(batch: pa.RecordBatch, spanning: bool):
+    """Pairs of one block pair in different components that sizes and sketches allow, offered in their first
+    common bucket; with ``spanning``, only such as join components that earlier pairs here have not joined."""
+    sig, i, j, block, ids, comp, n = (np.asarray(batch.column(k)) for k in range(7))
+    key = np.stack((sig, i, j))
+    edge = np.concatenate(([0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1, [len(sig)]))
+    left, right = [], []
+    for s, e in zip(edge[:-1].tolist(), edge[1:].tolist()):
+        sketches = batch.column(7).slice(s, e - s).to_pylist()
+        offsets, flat = _lists(batch.column(8).slice(s, e - s))
+        label, size, mine = np.unique(comp[s:e], return_inverse=True)[1], n[s:e], block[s:e]
+        for x in range(e - s):
+            other = np.flatnonzero((label != label[x]) & ((mine > mine[x]) if i[s] != j[s] else (np.arange(e - s) > x)))
+            if not len(other):
+                continue
+            fit = other[may_link(int(size[x]), sketches[x], size[other], [sketches[y] for y in other.tolist()])]
+            for y in fit.tolist():
+                both = np.intersect1d(flat[offsets[x]:offsets[x + 1]], flat[offsets[y]:offsets[y + 1]], True)
+                if both[0] != sig[s] or label[x] == label[y]:
+                    continue
+                left.append(int(ids[s + x]))
+                right.append(int(ids[s + y]))
+                if spanning:
+                    label[label == label[y]] = label[x]
+    if left:
+        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
 
-def _mixed(batch: pa.RecordBatch):
-    """The rows of signatures whose members are in two or more components."""
-    sig, comp = np.asarray(batch.column(0)), np.asarray(batch.column(2))
-    start = _starts(sig)
-    size = np.diff(np.append(start, len(sig)))
-    keep = np.repeat(np.maximum.reduceat(comp, start) != np.minimum.reduceat(comp, start), size)
-    if keep.any():
-        yield batch.filter(pa.array(keep))
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    offsets = np.asarray(column.offsets)
+    return offsets - offsets[0], np.asarray(column.flatten())
 
 
-def _cross(batch: pa.RecordBatch):
-    """Pairs of one signature in different components that sizes and sketches allow."""
-    sig, ids, comp, n = (np.asarray(batch.column(i)) for i in range(4))
-    sketches = batch.column(4).to_pylist()
-    start = np.append(_starts(sig), len(sig))
-    left, right = [], []
-    for s, e in zip(start[:-1].tolist(), start[1:].tolist()):
-        for i in range(s, e - 1):
-            other = np.flatnonzero(comp[i + 1:e] != comp[i]) + i + 1
-            if len(other):
-                ok = other[may_link(int(n[i]), sketches[i], n[other], [sketches[j] for j in other.tolist()])]
-                left += [int(ids[i])] * len(ok)
-                right += ids[ok].tolist()
-    if left:
-        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+def _apart(shared: DataFrame, labels: DataFrame | None, classes: DataFrame, spanning: bool) -> DataFrame:
+    """Candidates (a, b) among the members of buckets that are in different components."""
+    rows = _block_pairs(_mixed(_labelled(shared, labels)), classes)
+    return _runs(rows, partial(_cross, spanning=spanning), 3, "a long, b long")
 
 
 def _sketch_filter(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -333,42 +392,57 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest id reachable by links), class_id (of its set)
-    and n_links of its class found on the way (at least one per class that is linked to another)."""
-    text = F.col(text_col).cast("string")
-    docs = df.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+def _prepared(df: DataFrame, id_col: str, text_col: str):
+    """(rows with their sets, classes, buckets, in how many buckets each class is, texts of the classes in buckets)."""
+    text = F.col(f"`{text_col}`").cast("string")
+    docs = df.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     kind = docs.schema[0].dataType.simpleString()
     base = stored(_sets_table(docs, kind), "sets")
     classes = stored(base.where(F.col("set").isNotNull()).groupBy("set").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("member"), F.min("doc_id").alias("name"),
-        F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
-    shared = stored(_runs(_by_signature(_signature_rows(docs), "set"), _shared, "sig long, set long").distinct(), "buckets")
+        F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
+    shared = stored(_runs(_by_signature(_signature_rows(docs), "set"), _shared, 1, "sig long, set long").distinct(),
+                    "buckets")
     degree = stored(shared.groupBy("set").agg(F.count(F.lit(1)).alias("degree")), "degrees")
-    texts = _texts(degree.select("set"), classes, docs, kind)
-    edges, labels = None, None
-    for _ in range(2):
-        rows = _labelled(shared, labels).join(degree, "set").select("sig", "set", "comp", "degree")
-        pairs = _runs(_by_signature(rows, F.col("degree").desc(), "set"), _centres, "a long, b long").distinct()
-        pairs = _sketch_filter(pairs, classes)
-        # one centre a class and round, that of most buckets: each text travels once
-        best = pairs.join(degree.toDF("a", "degree"), "a").groupBy("b").agg(
-            F.max_by("a", F.struct("degree", "a")).alias("a")).select("a", "b")
-        edges, labels = _grown(edges, _verify(best, texts))
-    rest = _runs(_by_signature(_labelled(shared, labels), "set"), _mixed, "sig long, set long, comp long")
-    rest = rest.join(classes.select("set", "n", "sketch"), "set").select("sig", "set", "comp", "n", "sketch")
-    pairs = _runs(_by_signature(rest, "set"), _cross, "a long, b long").distinct()
-    edges, labels = _grown(edges, _verify(pairs, texts))
+    return base, classes, shared, degree, _texts(degree.select("set"), classes, docs, kind)
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (smallest id reachable by links), class_id (of its set),
+    component (names the component also where no id does; null without a set) and text_hash."""
+    base, classes, shared, degree, texts = _prepared(df, id_col, text_col)
+    rows = shared.join(degree, "set").select("sig", "set", F.col("set").alias("comp"), "degree")
+    pairs = map_arrow(_by_signature(rows, F.col("degree").desc(), "set"), _centres, "a long, b long").distinct()
+    pairs = _sketch_filter(pairs, classes)
+    # one centre a class, that of most buckets: each text travels once
+    best = pairs.join(degree.toDF("a", "degree"), "a").groupBy("b").agg(
+        F.max_by("a", F.struct("degree", "a")).alias("a")).select("a", "b")
+    edges, labels = _grown(None, _verify(best, texts))
+    for spanning in (True, False):
+        edges, labels = _grown(edges, _verify(_apart(shared, labels, classes, spanning), texts))
     # names: the smallest document id of the classes of a component
     named = classes.select("set", "name").join(labels, "set", "left").select(
         "set", "name", F.coalesce("comp", "set").alias("comp"))
     least = named.groupBy("comp").agg(F.min("name").alias("component_id"))
-    links = edges.select("a").union(edges.select("b")).groupBy(F.col("a").alias("set")).agg(
-        F.count(F.lit(1)).alias("n_links"))
-    named = named.join(least, "comp").join(links, "set", "left").select("set", "component_id", "n_links")
+    named = named.join(least, "comp").select("set", "component_id", F.col("comp").alias("component"))
     return base.drop("sketch").join(named, "set", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.col("set").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "text_hash")
+        F.col("set").alias("class_id"), "component", "text_hash")
+
+
+def class_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The whole join: (class pairs (a, b), a < b, of every link between different sets; and per row: doc_id,
+    class_id and n_links, the other rows it is linked to, copies of its own set included)."""
+    base, classes, shared, _, texts = _prepared(df, id_col, text_col)
+    pairs = _verify(_apart(shared, None, classes, False), texts)
+    pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "pairs")
+    size = classes.select(F.col("set").alias("b"), "copies")
+    both = pairs.union(pairs.select("b", "a")).join(size, "b").groupBy(F.col("a").alias("set")).agg(
+        F.sum("copies").alias("others"))
+    links = classes.select("set", "copies").join(both, "set", "left").select(
+        "set", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return pairs, base.join(links, "set", "left").select(
+        "doc_id", F.col("set").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
 
 
 def _labelled(shared: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -383,15 +457,22 @@ def _grown(edges: DataFrame | None, more: DataFrame) -> tuple[DataFrame, DataFra
 
 
 def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of the rows that stay: of each component its smallest id, of repeated rows one.
+    """All columns of the rows that stay: one of each component, with the smallest id (null after all others), then
+    the smallest text hash; of rows equal in both, one.
 
     Rows without any word are linked with nothing and all stay."""
     found = near_duplicates(df, id_col, text_col)
-    keep = stored(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "text_hash").agg(
-        F.count(F.lit(1)).alias("rows"), F.max("n_shingles").alias("n")), "kept").toDF("__i", "__h", "__rows", "__n")
+    grouped = found.where(F.col("component").isNotNull()).groupBy("component", "doc_id", "text_hash").agg(
+        F.count(F.lit(1)).alias("rows"))
+    first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
+    linked = grouped.groupBy("component").agg(F.min_by(F.struct("doc_id", "text_hash", "rows"), first).alias("k")).select(
+        "k.*", F.lit(False).alias("blank"))
+    blank = found.where(F.col("component").isNull()).groupBy("doc_id", "text_hash").agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(True).alias("blank"))
+    keep = stored(linked.unionByName(blank), "kept").toDF("__i", "__h", "__rows", "__blank")
     text = F.col(f"`{text_col}`").cast("string")
     same = F.col(f"`{id_col}`").eqNullSafe(F.col("__i")) & (F.xxhash64(text) == F.col("__h"))
-    copies = (F.col("__rows") > 1) & (F.col("__n") > 0)
+    copies = (F.col("__rows") > 1) & ~F.col("__blank")
     once = df.join(keep.where(~copies), same, "left_semi")
     if keep.where(copies).isEmpty():
         return once

@@ -92,19 +92,85 @@ def test_sketch_never_exceeds_the_difference():
         assert J.least_difference(J.sketch(a), [J.sketch(b)])[0] <= true
 
 
+def brute_kept(rows):
+    """Texts that stay: one of each component (smallest id, null last), and every row without words."""
+    groups = {}
+    for (d, t), (_, n, _), root in zip(rows, *brute_roots(rows)):
+        if n:
+            groups.setdefault(root, []).append(d)
+    first = sorted((min(ds, key=lambda d: (d is None, d or 0)) for ds in groups.values()), key=repr)
+    return first, sum(1 for _, t in rows if not words_of(t))
+
+
+def brute_roots(rows):
+    sets = [shingles(t) for _, t in rows]
+    up = list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            inter = len(sets[i] & sets[j])
+            if inter and 100 * inter >= 75 * (len(sets[i]) + len(sets[j]) - inter):
+                up[root(i)] = root(j)
+    return [(None, len(s), None) for s in sets], [root(i) for i in range(len(rows))]
+
+
 def test_deduplicated_keeps_one_of_each_group(spark):
     rows = [(i, t) for i, t in enumerate(make_texts(5, 24))]
+    base = rows[10][1].split() + [f"x{i}" for i in range(60)]
+    near = [" ".join(base[:k] + [f"edit{k}"] + base[k + 1:]) for k in (3, 30, 45)]
     rows += [rows[0], rows[0], (200, None), (200, None), (2, "other text under one id " * 3)]
+    rows += [(7, near[0]), (7, near[1]), (7, near[1])]  # near copies under one id that other texts have too
+    apart = " ".join(f"null{i}" for i in range(80)).split()
+    rows += [(None, " ".join(apart[:k] + ["edit"] + apart[k + 1:])) for k in (2, 40, 70)]  # near copies without id
+    rows += [(None, "alone without id"), (None, "alone without id"), (None, "")]
     kept = J.deduplicated(frame(spark, rows)).select("doc_id", "text", "size").collect()
-    whole = brute(rows)
-    n_empty = sum(1 for _, t in rows if not words_of(t))
-    named = {(d, c) for d, n, c in whole if n}
-    assert sum(1 for r in kept if not words_of(r.text)) == n_empty
-    full = [r for r in kept if words_of(r.text)]
-    assert len(full) == len({(r.doc_id, r.text) for r in full}) == len({(d, c) for d, c in named if d == c}) + 1
+    first, blank = brute_kept(rows)
+    assert sorted((r.doc_id for r in kept if words_of(r.text)), key=repr) == first
+    assert sum(1 for r in kept if not words_of(r.text)) == blank
     assert {r["size"] for r in kept} == {"x"}
 
 
+@pytest.mark.parametrize("block", [3, 1024])
+def test_every_link_between_texts_is_found_whatever_the_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(J, "BLOCK", block)
+    rows = [(i, t) for i, t in enumerate(make_texts(9, 40))] + [(500, make_texts(9, 40)[3]), (None, "a b c d e f")]
+    sets = [shingles(t) for _, t in rows]
+    links, by_row = set(), [0] * len(rows)
+    for i in range(len(rows)):
+        for j in range(len(rows)):
+            inter = len(sets[i] & sets[j])
+            if i != j and inter and 100 * inter >= 75 * (len(sets[i]) + len(sets[j]) - inter):
+                by_row[i] += 1
+                if sets[i] != sets[j]:
+                    links.add(frozenset((sets[i], sets[j])))
+    df = frame(spark, rows).repartition(5)
+    pairs, per_row = J.class_links(df)
+    got = pairs.collect()
+    assert len(got) == len(set(got)) == len(links)
+    assert sorted(((r.doc_id, r.n_links) for r in per_row.collect()), key=repr) == sorted(
+        ((d, n) for (d, _), n in zip(rows, by_row)), key=repr)
+    assert result(df) == brute(rows)
+
+
+def test_a_candidate_is_offered_once_and_never_inside_a_component(spark):
+    """Many near copies that share most buckets: the pairs offered are few and all different."""
+    base = [f"w{i}" for i in range(100)]
+    texts = [" ".join(base[:k] + ["x", str(k)] + base[k:]) for k in range(60)]
+    df = frame(spark, list(enumerate(texts)))
+    _, classes, shared, _, _ = J._prepared(df, "doc_id", "text")
+    every = J._apart(shared, None, classes, False).collect()
+    assert len(every) == len({frozenset(p) for p in every})
+    few = J._apart(shared, None, classes, True).collect()
+    assert len(few) <= sum(r["n"] - 1 for r in shared.groupBy("sig").agg(J.F.count("*").alias("n")).collect())
+    one = classes.select("set", J.F.lit(1).cast("long").alias("comp"))
+    assert J._apart(shared, one, classes, False).count() == 0
+
+
 def test_shingles_of_a_batch_do_not_cross_rows():
     sets = J.shingle_sets(Block(pa.array(["a b c", "d e f", None, "", "a b c d e f g"])))
     assert [len(s) for s in sets] == [1, 1, 0, 0, 3]
