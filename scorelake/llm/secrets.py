@@ -67,7 +67,8 @@ RULES = BASE_RULES + (
     Rule("private_key", _PRIVATE_KEY),
     Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # from the start of a run of its class, so that each run is entered once
+    Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("url_login", r"://[A-Za-z0-9._-]{1,64}:[A-Za-z0-9._~!$&*+=-]{3,64}@"),
 )
 
@@ -164,23 +165,29 @@ def query_trigrams(query) -> set[bytes]:
 
 
 # ------------------------------------------------------------- index segment
-def postings(block: Block, trigrams: list[bytes]) -> dict[bytes, np.ndarray]:
-    """Sorted rows of the batch that hold each of the trigrams."""
-    low = LOWER[block.bytes].astype(np.uint32)
-    if len(low) < 3 or not trigrams:
-        return {t: np.zeros(0, np.int64) for t in trigrams}
-    code = (low[:-2] << np.uint32(16)) | (low[1:-1] << np.uint32(8)) | low[2:]
-    number = np.zeros(1 << 24, np.uint8 if len(trigrams) < 255 else np.uint16)
-    for i, t in enumerate(trigrams):
-        number[int.from_bytes(t, "big")] = i + 1
-    hit = number[code]
-    at = np.flatnonzero(hit)
-    row = np.searchsorted(block.offsets, at, side="right") - 1
-    inside = at + 3 <= block.offsets[row + 1]
-    pairs = np.unique(hit[at[inside]].astype(np.int64) * block.rows + row[inside])
-    return {t: pairs[np.searchsorted(pairs, (i + 1) * block.rows):
-                     np.searchsorted(pairs, (i + 2) * block.rows)] - (i + 1) * block.rows
-            for i, t in enumerate(trigrams)}
+class Index:
+    """The rules ready for scanning: their trigram queries and the number of each wanted trigram (built once a task)."""
+
+    def __init__(self, rules: tuple[Rule, ...]):
+        self.rules = rules
+        self.queries = [trigram_query(r.pattern, r.flags) for r in rules]
+        self.trigrams = sorted(set().union(set(), *map(query_trigrams, self.queries)))
+        self.number = np.zeros(1 << 24, np.uint8 if len(self.trigrams) < 255 else np.uint16)
+        for i, t in enumerate(self.trigrams):
+            self.number[int.from_bytes(t, "big")] = i + 1
+
+    def postings(self, block: Block) -> dict[bytes, np.ndarray]:
+        """Sorted rows of the batch that hold each of the trigrams."""
+        low = LOWER[block.bytes].astype(np.uint32)
+        if len(low) < 3 or not self.trigrams:
+            return {t: np.zeros(0, np.int64) for t in self.trigrams}
+        hit = self.number[(low[:-2] << np.uint32(16)) | (low[1:-1] << np.uint32(8)) | low[2:]]
+        at = np.flatnonzero(hit)
+        row = np.searchsorted(block.offsets, at, side="right") - 1
+        inside = at + 3 <= block.offsets[row + 1]
+        pairs = np.unique(hit[at[inside]].astype(np.int64) * block.rows + row[inside])
+        edge = np.searchsorted(pairs, np.arange(1, len(self.trigrams) + 2) * block.rows)
+        return {t: pairs[edge[i]:edge[i + 1]] - (i + 1) * block.rows for i, t in enumerate(self.trigrams)}
 
 
 def candidates(query, posting: dict[bytes, np.ndarray], rows: int) -> np.ndarray:
@@ -195,15 +202,13 @@ def candidates(query, posting: dict[bytes, np.ndarray], rows: int) -> np.ndarray
     return out
 
 
-def find_spans(texts: pa.Array, rules: tuple[Rule, ...]) -> list[list[tuple[str, int, int]]]:
+def find_spans(texts: pa.Array, rules: Index | tuple[Rule, ...]) -> list[list[tuple[str, int, int]]]:
     """The spans of each text by start, then rule, found through one index segment."""
-    queries = [trigram_query(r.pattern, r.flags) for r in rules]
-    wanted = sorted(set().union(set(), *map(query_trigrams, queries)))
-    block = Block(texts)
-    posting = postings(block, wanted)
+    index = rules if isinstance(rules, Index) else Index(rules)
+    posting = index.postings(Block(texts))
     values = texts.to_pylist()
     found: list[list[tuple[int, int, str, int]]] = [[] for _ in values]
-    for order, (rule, query) in enumerate(zip(rules, queries)):
+    for order, (rule, query) in enumerate(zip(index.rules, index.queries)):
         for row in candidates(query, posting, len(values)).tolist():
             found[row] += [(s, order, rule.kind, e) for s, e in rule.spans(values[row] or "")]
     return [[(kind, s, e) for s, _, kind, e in sorted(f)] for f in found]
@@ -213,14 +218,15 @@ def scan(df: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """Per row: its id and ``spans`` (kind, start, end) by start, then rule order."""
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def run(batch: pa.RecordBatch, index: Index) -> pa.RecordBatch:
         spans = [[{"kind": k, "start": s, "end": e} for k, s, e in row]
-                 for row in find_spans(batch.column(1), rules)]
+                 for row in find_spans(batch.column(1), index)]
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)], ["doc_id", "spans"])
 
     src = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(src, run, f"doc_id {src.schema[0].dataType.simpleString()}, spans {SPAN_TYPE}")
+    return map_batches(src, run, f"doc_id {src.schema[0].dataType.simpleString()}, spans {SPAN_TYPE}",
+                       state=lambda: Index(rules))
 
 
 def redact(df: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text",
@@ -237,10 +243,10 @@ def redact(df: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text
             done = max(done, e)
         return "".join(out) + text[done:]
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def run(batch: pa.RecordBatch, index: Index) -> pa.RecordBatch:
         at = batch.schema.get_field_index(text_col)
         texts = batch.column(at)
-        new = [clean(t, s) for t, s in zip(texts.to_pylist(), find_spans(texts, rules))]
+        new = [clean(t, s) for t, s in zip(texts.to_pylist(), find_spans(texts, index))]
         return batch.set_column(at, text_col, pa.array(new, texts.type))
 
-    return map_batches(df, run, df.schema)
+    return map_batches(df, run, df.schema, state=lambda: Index(rules))
