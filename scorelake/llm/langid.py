@@ -14,10 +14,9 @@ prediction reads the text alone.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,17 +25,18 @@ from scorelake.llm.store import map_batches
 
 #: The bounds of the fit: slices per language and characters per slice.
 SLICES, SLICE_CHARS = 160, 700
+#: Languages that a fit takes (a dictionary of up to 112 KB each goes to every task); more raise an error.
 MOST_LANGUAGES = 400
 CHUNK_BYTES = 4096
 LEVEL = 3
 MIN_MARGIN = 0.02
 UNKNOWN = "und"
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+_LETTERS = regex.compile(r"(?:\p{L}\p{M}*)+")
 
 
 def letters(text: str | None) -> bytes:
-    """The normal form: lower case, each run of non-letters one space."""
-    return _NO_LETTERS.sub(" ", (text or "").lower()).strip().encode("utf-8", "replace")
+    """The normal form: lower case, each run of non-letters one space (a mark after a letter belongs to it)."""
+    return " ".join(_LETTERS.findall((text or "").lower())).encode("utf-8", "replace")
 
 
 def train(df: DataFrame, lang_col: str = "lang", text_col: str = "text",

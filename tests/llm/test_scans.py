@@ -291,3 +291,52 @@ def test_benchmark_items_without_id_are_searched(spark, block):
     got = {r.doc_id: (r.n_hit, r["items"], r.unnamed) for r in D.scan(docs, items, block_windows=block).collect()}
     assert got == {1: (3, ["8"], True), 2: (1, [], True), 3: (0, [], False)}
     assert [r.doc_id for r in D.decontaminate(docs, items).collect()] == [3]
+
+
+#: A megabyte of what each rule starts with or runs over, where no match may cost more than a pass.
+LONG_RUNS = {
+    "assign": ["password", "token ", "a" * 8, "api_key=", "secret'"],
+    "access": ["AKIA", "AKIA0"],
+    "hex": ["0123abcdef", "f0 "],
+    "private_key": ["-----BEGIN PRIVATE KEY-----", "-----BEGIN RSA PRIVATE KEY-----\nQUJD", "-----BEGIN ", "\\nQUJD"],
+    "forge_token": ["ghp_", "ghp_a"],
+    "chat_token": ["xoxb-", "xoxb-1-"],
+    "web_token": ["eyJ", "eyJhbGciOi", "eyJhbGciOiJI.", "eyJhbGciOiJI.eyJhbGciOiJI", "eyJhbGciOiJI "],
+    "url_login": ["://", "://a", "://a:b", "a:"],
+}
+
+
+@pytest.mark.parametrize("kind, part", [(k, p) for k, parts in LONG_RUNS.items() for p in parts])
+def test_every_rule_is_linear_on_long_runs(kind, part):
+    import time
+    rule = next(r for r in S.RULES if r.kind == kind)
+
+    def seconds(size):
+        text = part * (size // len(part))
+        start = time.process_time()
+        rule.spans(text)
+        return time.process_time() - start
+
+    assert seconds(1 << 20) < 30 * max(seconds(1 << 17), 0.02)  # 8 times the text; a square would take 64 times
+
+
+def test_a_web_token_is_found_whatever_stands_around():
+    token = "eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl"
+    for before, after in (("", ""), ("x ", " y"), ("=", ";"), ('"', '"'), ("Bearer:", "\n"), ("eyJ.", "."), ("..", "..")):
+        text = before + token + after
+        kinds = [(k, text[s:e]) for k, s, e in S.find_spans(pa.array([text]), S.RULES)[0] if k == "web_token"]
+        assert kinds == [("web_token", token)], text
+
+
+def test_texts_without_letters_are_und():
+    """Letters by Unicode category: digits, numerals and symbols of any script are none."""
+    import unicodedata
+    scorer = L.Scorer({"en": b"the cat sat on the mat", "de": "die Katze saß auf der Matte".encode()})
+    none = ["² ½ ①", "Ⅷ ⅷ", "१२३ ٣٤", "_ __ -", "\u0301 \u0301", "☃ 12 €", "", None, " \n"]
+    for text in none:
+        assert scorer(text) == (L.UNKNOWN, 0.0), text
+    for text in ("ª", "ʰ", "漢", "é", "e\u0301", "ก็"):
+        assert scorer(text)[0] != L.UNKNOWN
+    for code in range(0x20, 0x3000):
+        if unicodedata.category(chr(code))[0] not in "LC" and not chr(code).lower().isalpha():
+            assert L.letters(chr(code)) == b"", hex(code)
