@@ -21,11 +21,12 @@ left are buckets whose members lie in different components. Those are cut into
 blocks of about ``BLOCK`` members, dealt as pairs of blocks, so a task holds two
 blocks however large the bucket. Of the pairs of members that sizes and a parity
 sketch allow (a lower bound of the symmetric difference, so no true link fails
-it), a block pair first offers only a spanning forest over components; links
-found so merge components, and a last round offers every pair still apart. A
-pair that shares several buckets is offered by the smallest one alone (members
-carry their buckets), so no candidate is repeated and a group of copies is never
-expanded into all pairs. Candidates pass the exact comparison of the sets.
+it), a block pair first offers only a spanning forest over components. Where all
+of these turn out to be links, whatever else the block pair allows is joined
+too; only buckets with a refuted pair are gone through again, for every pair
+still apart. Of the buckets that such a pair shares (all of them have a refuted
+pair) the smallest offers it alone, as members carry their smaller buckets, so
+no candidate is repeated and a group of copies is never expanded into all pairs. Candidates pass the exact comparison of the sets.
 ``class_links`` skips the components and returns every link between classes.
 
 Defined results: a text with fewer words than a shingle is one shingle; null
@@ -274,27 +275,28 @@ def _mixed(rows: DataFrame) -> DataFrame:
     return rows.join(held.where("low <> high").select("sig", "members"), "sig")
 
 
-def _block_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """The members of mixed buckets, each with its size, sketch and buckets, dealt to every pair of blocks it is in."""
+def _block_pairs(rows: DataFrame, classes: DataFrame, once: bool) -> DataFrame:
+    """The members of mixed buckets with size, sketch and (with ``once``) their smaller buckets, dealt to every
+    pair of blocks they are in."""
     owned = rows.groupBy("set", "comp").agg(F.array_sort(F.collect_list(F.struct("sig", "members"))).alias("own"))
     owned = owned.join(classes.select("set", "n", "sketch"), "set").select(
-        "set", "comp", "n", "sketch", F.col("own.sig").alias("sigs"), F.explode("own").alias("o"))
+        "set", "comp", "n", "sketch", "own", F.posexplode("own").alias("smaller", "o"))
     blocks = F.ceil(F.col("o.members") / BLOCK).cast("int")
     dealt = owned.select("*", blocks.alias("blocks"), F.pmod(F.xxhash64(F.lit("block"), "set"), blocks).cast("int").alias(
         "block")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return dealt.select(
         F.col("o.sig").alias("sig"), F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block",
-        "set", "comp", "n", "sketch", "sigs").repartition(n, "sig", "i", "j").sortWithinPartitions("sig", "i", "j", "set")
+        "set", "comp", "n", "sketch", F.slice("own.sig", F.lit(1), F.col("smaller") if once else F.lit(0)).alias("smaller")).repartition(n, "sig", "i", "j").sortWithinPartitions("sig", "i", "j", "set")
 
 
 def _cross(batch: pa.RecordBatch, spanning: bool):
-    """Pairs of one block pair in different components that sizes and sketches allow, offered in their first
-    common bucket; with ``spanning``, only such as join components that earlier pairs here have not joined."""
+    """(a, b, sig): pairs of one block pair in different components that sizes and sketches allow, offered in their
+    first common bucket; with ``spanning``, only such as join components that earlier pairs here have not joined."""
     sig, i, j, block, ids, comp, n = (np.asarray(batch.column(k)) for k in range(7))
     key = np.stack((sig, i, j))
     edge = np.concatenate(([0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1, [len(sig)]))
-    left, right = [], []
+    left, right, where = [], [], []
     for s, e in zip(edge[:-1].tolist(), edge[1:].tolist()):
         sketches = batch.column(7).slice(s, e - s).to_pylist()
         offsets, flat = _lists(batch.column(8).slice(s, e - s))
@@ -305,15 +307,16 @@ def _cross(batch: pa.RecordBatch, spanning: bool):
                 continue
             fit = other[may_link(int(size[x]), sketches[x], size[other], [sketches[y] for y in other.tolist()])]
             for y in fit.tolist():
-                both = np.intersect1d(flat[offsets[x]:offsets[x + 1]], flat[offsets[y]:offsets[y + 1]], True)
-                if both[0] != sig[s] or label[x] == label[y]:
+                if label[x] == label[y] or len(np.intersect1d(
+                        flat[offsets[x]:offsets[x + 1]], flat[offsets[y]:offsets[y + 1]], True)):
                     continue
                 left.append(int(ids[s + x]))
                 right.append(int(ids[s + y]))
+                where.append(int(sig[s]))
                 if spanning:
                     label[label == label[y]] = label[x]
     if left:
-        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (left, right, where)], ["a", "b", "sig"])
 
 
 def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -322,9 +325,9 @@ def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _apart(shared: DataFrame, labels: DataFrame | None, classes: DataFrame, spanning: bool) -> DataFrame:
-    """Candidates (a, b) among the members of buckets that are in different components."""
-    rows = _block_pairs(_mixed(_labelled(shared, labels)), classes)
-    return _runs(rows, partial(_cross, spanning=spanning), 3, "a long, b long")
+    """Candidates (a, b, sig) among the members of buckets that are in different components."""
+    rows = _block_pairs(_mixed(_labelled(shared, labels)), classes, not spanning)
+    return _runs(rows, partial(_cross, spanning=spanning), 3, "a long, b long, sig long")
 
 
 def _sketch_filter(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -418,8 +421,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     best = pairs.join(degree.toDF("a", "degree"), "a").groupBy("b").agg(
         F.max_by("a", F.struct("degree", "a")).alias("a")).select("a", "b")
     edges, labels = _grown(None, _verify(best, texts))
-    for spanning in (True, False):
-        edges, labels = _grown(edges, _verify(_apart(shared, labels, classes, spanning), texts))
+    offered = stored(_apart(shared, labels, classes, True), "offered")
+    edges, labels = _grown(edges, _verify(offered.select("a", "b").distinct(), texts))
+    refuted = offered.join(edges, ["a", "b"], "left_anti").select("sig").distinct()
+    again = shared.join(stored(refuted, "refuted"), "sig", "left_semi")
+    edges, labels = _grown(edges, _verify(_apart(again, labels, classes, False).select("a", "b"), texts))
     # names: the smallest document id of the classes of a component
     named = classes.select("set", "name").join(labels, "set", "left").select(
         "set", "name", F.coalesce("comp", "set").alias("comp"))
@@ -434,7 +440,7 @@ def class_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """The whole join: (class pairs (a, b), a < b, of every link between different sets; and per row: doc_id,
     class_id and n_links, the other rows it is linked to, copies of its own set included)."""
     base, classes, shared, _, texts = _prepared(df, id_col, text_col)
-    pairs = _verify(_apart(shared, None, classes, False), texts)
+    pairs = _verify(_apart(shared, None, classes, False).select("a", "b"), texts)
     pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "pairs")
     size = classes.select(F.col("set").alias("b"), "copies")
     both = pairs.union(pairs.select("b", "a")).join(size, "b").groupBy(F.col("a").alias("set")).agg(

@@ -163,7 +163,7 @@ def test_a_candidate_is_offered_once_and_never_inside_a_component(spark):
     texts = [" ".join(base[:k] + ["x", str(k)] + base[k:]) for k in range(60)]
     df = frame(spark, list(enumerate(texts)))
     _, classes, shared, _, _ = J._prepared(df, "doc_id", "text")
-    every = J._apart(shared, None, classes, False).collect()
+    every = J._apart(shared, None, classes, False).select("a", "b").collect()
     assert len(every) == len({frozenset(p) for p in every})
     few = J._apart(shared, None, classes, True).collect()
     assert len(few) <= sum(r["n"] - 1 for r in shared.groupBy("sig").agg(J.F.count("*").alias("n")).collect())
