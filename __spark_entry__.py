@@ -608,6 +608,102 @@ for _role in ROLES:
         lambda spark, d, r=_role: _csv_silver(spark, d, r))
 
 
+# ===================================== served from a refreshed lake (S6, S7, T*)
+_LAKES: dict[tuple[str, str], str] = {}
+
+
+def _lake(spark: SparkSession, d: str) -> Scorecards:
+    """The whole tables as a refreshed lake, written on first use in a session and reopened afterwards."""
+    from scorelake.plans.refresh import land_fixture, refresh
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _LAKES:
+        root = _scratch_lake(spark)
+        refresh(spark, root, raw=land_fixture(spark, d, root))
+        _LAKES[key] = root
+    return Scorecards.from_lake(spark, _LAKES[key])
+
+
+_RANK_KEYS = {"batsmen": ("total_runs", "total_matches"), "bowler": ("total_wickets", "total_matches"),
+              "fielder": ("total_catches", "total_wicket_keeper_catches", "total_stumpings")}
+
+
+def _ranking_sql(role: str, where: str = "", rows: str | None = None) -> str:
+    """T1-T3 with positions."""
+    keys = ", ".join(f"{k} DESC NULLS FIRST" for k in _RANK_KEYS[role])
+    return (f"SELECT * FROM (SELECT *, row_number() OVER (ORDER BY {keys}, full_name NULLS FIRST, country) AS position "
+            f"FROM {rows or f'pt_{role}'}){where}")
+
+
+for _role in ROLES:
+    _fmt = {"batsmen": "T20", "bowler": "T20", "fielder": "Test"}[_role]
+    s_ = spec(_role)
+    # a page from the middle of each stored ranking
+    _reg(f"ranking_page_{_role}", O.with_roles(_ranking_sql(_role, " WHERE position BETWEEN 401 AND 450"), [_role],
+                                               extra=O.player_table_cte(_role)))(
+        lambda spark, d, r=_role: _lake(spark, d).ranking_page(r, 401, 450))
+    _keys = ", ".join(f"{O.num(O.q(k))} DESC" for k in s_.ranking_sort)
+    _rest = ", ".join(f"{O.q(c)} ASC NULLS FIRST" for c in s_.ranking_columns)
+    _reg(f"format_ranking_page_{_role}", _rows_sql(_role, (
+        f"SELECT position, {', '.join(O.q(c) for c in s_.ranking_columns)} FROM (SELECT *, row_number() OVER "
+        f"(ORDER BY {_keys}, {_rest}) AS position FROM rows_{_role} WHERE format = '{_fmt}') "
+        f"WHERE position BETWEEN 26 AND 75")))(
+        lambda spark, d, r=_role, f=_fmt: _lake(spark, d).format_ranking_page(r, f, 26, 75))
+    _reg(f"ranked_page_{_role}", _rows_sql(_role, (
+        f"SELECT position, full_name, value, country FROM (SELECT full_name, CAST(value AS BIGINT) AS value, country, "
+        f"row_number() OVER (ORDER BY {O.num('value')} DESC, full_name) AS position FROM {_ranked_sql(_role, _fmt)}) "
+        f"WHERE position BETWEEN 101 AND 200")))(
+        lambda spark, d, r=_role, f=_fmt: _lake(spark, d).ranked_page(r, f, 101, 200))
+    _reg(f"name_search_{_role}", _suggest_sql(_role, _fmt, "R#00000012", None))(
+        lambda spark, d, r=_role, f=_fmt: board.suggestions(_lake(spark, d).board(r), r, f, "R#00000012"))
+    # the board on stored cards gives what it gives on rows
+    for _name in ("kpis", "profile", "versus", "versus_card", "versus_by_format", "format_bars", "metric_availability"):
+        _fn = getattr(board, _name)
+        _reg(f"stored_{_name}_{_role}", _SQL[f"{_name}_{_role}"])(
+            (lambda spark, d, r=_role: board.metric_availability(_lake(spark, d).board(r), r))
+            if _name == "metric_availability" else
+            (lambda spark, d, fn=_fn, r=_role, f=_fmt: fn(_lake(spark, d).board(r), r, f)))
+
+for _name, (_sql, _role, _fn) in _named.items():
+    _reg(f"stored_{_name}", _sql)(lambda spark, d, fn=_fn, r=_role: fn(_lake(spark, d).board(r), r))
+
+
+@_reg("refresh_one_name", O.with_roles(_ranking_sql("bowler"), ["bowler"], extra=O.player_table_cte("bowler")))
+def _refresh_one_name(spark, d):
+    """S6 by name: the player table is rebuilt with the ranking that hangs on it; the rest keeps its version."""
+    from scorelake.plans import registry
+    from scorelake.plans.refresh import refresh_derived
+    from scorelake.sources.lake import Ledger
+    _lake(spark, d)
+    root = _LAKES[(spark.sparkContext.applicationId, d)]
+    before = Ledger(spark, root)
+    report = refresh_derived(spark, root, "player_stats_all_formats_bowler")
+    after = Ledger(spark, root)
+    for role in ROLES:
+        for dataset in registry.parents(role):
+            if (before.root_of(role, dataset) != after.root_of(role, dataset)) != (dataset in report.written):
+                raise AssertionError(f"{dataset} changed with player_stats_all_formats_bowler, or did not follow it")
+    cards = Scorecards.from_lake(spark, root)
+    return cards._gold("bowler", "ranking_bowler").drop("block")
+
+
+@_reg("reader_across_refreshes", O.with_roles(
+    "SELECT 'before' AS reader, * FROM pt_fielder UNION ALL BY NAME SELECT 'after' AS reader, * FROM half",
+    ["fielder"], extra=O.player_table_cte("fielder") + ",\n" + O.player_table_cte("fielder").replace(
+        "pt_fielder AS", "half AS").replace("FROM silver_fielder", "FROM silver_fielder WHERE format <> 'Test'")))
+def _reader_across_refreshes(spark, d):
+    """A reader that was open keeps its tables through two refreshes; one opened later sees the new ones."""
+    from scorelake.plans.refresh import land_fixture, refresh
+    root = _scratch_lake(spark)
+    raw = land_fixture(spark, d, root)["fielder"]
+    refresh(spark, root, raw={"fielder": raw}, roles=("fielder",))
+    reader = Scorecards.from_lake(spark, root)
+    for _ in range(2):
+        refresh(spark, root, raw={"fielder": raw.where(F.col("format") != "Test")}, roles=("fielder",))
+    later = Scorecards.from_lake(spark, root)
+    return reader.player_table("fielder").select(F.lit("before").alias("reader"), "*").union(
+        later.player_table("fielder").select(F.lit("after").alias("reader"), "*"))
+
+
 # ============================== text operators, if their subpackage is there
 try:
     import corpus_pipeline

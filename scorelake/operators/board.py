@@ -10,7 +10,10 @@ projection of the silver role dataset, no union, no shuffle.
 Players are picked in-plan: the default player is rank 1 of the role's
 primary metric in the chosen format, the rival the best other one (T12).
 A pick is a one-row frame (``limit``), joined back with a broadcast
-semi-join; nothing is collected to the driver.  Where the result is a list
+semi-join; nothing is collected to the driver.  Each function also takes a
+``Board``, the stored cards of a refreshed lake: one row per player and
+format with its metrics and rank position, so a pick is a filter on the
+position and a player's values are one stored row.  Where the result is a list
 of metrics (KPIs, profile, comparisons), values are computed as
 conditional aggregates in one pass and turned into rows with ``stack``.
 """
@@ -18,6 +21,7 @@ conditional aggregates in one pass and turned into rows with ``stack``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,8 +63,59 @@ def board_rows(silver: DataFrame, role: str) -> DataFrame:
     return silver.select(*cols, F.lit(BOARD_ROLE[role]).alias("role"))
 
 
-def relevant(rows: DataFrame, fmt: str | None) -> DataFrame:
+@dataclass(frozen=True)
+class Board:
+    """What a refresh stores for a role's board.
+
+    ``cards``: a row per format and player: the metrics collapsed as B1 says, value (the primary one), country,
+    countries, position (T9), players (of the format) and block. ``available``: one row of flags
+    ``has_<metric>`` (B2). ``index``: postings of the trigrams of names (T10), if there are any.
+    """
+
+    cards: DataFrame
+    available: DataFrame
+    index: DataFrame | None = None
+
+
+def card_metrics(role: str) -> tuple[str, ...]:
+    """Every metric that the role's board shows."""
+    s = spec(role)
+    return tuple(dict.fromkeys((*s.metrics, *s.kpis, *s.profile)))
+
+
+def cards(rows: DataFrame, role: str) -> DataFrame:
+    """Per format and player: the board metrics, value, country and countries (positions come with storing).
+
+    Collapsing a card again leaves it as it is, so cards stand in for rows in every board function."""
+    return rows.groupBy("format", "full_name").agg(
+        *[metric_agg(m).alias(m) for m in card_metrics(role)], metric_agg(spec(role).primary).alias("value"),
+        F.min("country").alias("country"),
+        F.array_sort(F.collect_set(F.when(F.col("country") != "", F.col("country")))).alias("countries"))
+
+
+def card_order() -> list[Column]:
+    """By value, NULL as 0; ties by name."""
+    return [_num(F.col("value")).desc(), F.col("full_name")]
+
+
+def availability_flags(rows: DataFrame, role: str) -> DataFrame:
+    """B2 as one row: ``has_<metric>`` over the rows of every format."""
+    return rows.agg(*[F.coalesce(F.max(F.col(m).isNotNull()), F.lit(False)).alias(f"has_{m}")
+                      for m in card_metrics(role)])
+
+
+def _frame(rows: DataFrame | Board) -> DataFrame:
+    return rows.cards if isinstance(rows, Board) else rows
+
+
+def _at(*positions: int) -> Column:
+    """The cards at these (first) positions: all in the first block."""
+    return (F.col("block") == 0) & F.col("position").isin(*positions)
+
+
+def relevant(rows: DataFrame | Board, fmt: str | None) -> DataFrame:
     """Rows of one format (None: all formats)."""
+    rows = _frame(rows)
     if fmt is None:
         return rows
     return rows.where(F.col("format") == check_format(fmt, allow_all=False))
@@ -106,20 +161,31 @@ def ranked_players(rows: DataFrame, role: str, fmt: str) -> DataFrame:
     Grouped by name only, like the board (namesakes merge; the country is
     the smallest of theirs).  Ties break by name.
     """
-    primary = spec(role).primary
-    return (relevant(rows, fmt).groupBy("full_name")
-            .agg(metric_agg(primary).alias("value"), F.min("country").alias("country"))
-            .orderBy(_num(F.col("value")).desc(), F.col("full_name")))
+    if isinstance(rows, Board):
+        return relevant(rows, fmt).select("full_name", "value", "country", "position").orderBy("position").drop("position")
+    return _per_player(rows, fmt, spec(role).primary).orderBy(*card_order())
+
 
+def _per_player(rows: DataFrame | Board, fmt: str, metric: str) -> DataFrame:
+    """(full_name, value, country) of a format's players; a card already is that."""
+    if isinstance(rows, Board):
+        return relevant(rows, fmt).select("full_name", F.col(metric).alias("value"), "country")
+    return relevant(rows, fmt).groupBy("full_name").agg(
+        metric_agg(metric).alias("value"), F.min("country").alias("country"))
 
-def pick_player(rows: DataFrame, role: str, fmt: str, player: str | None = None,
+
+def pick_player(rows: DataFrame | Board, role: str, fmt: str, player: str | None = None,
                 exclude: DataFrame | str | None = None) -> DataFrame:
     """A one-row frame ``(full_name)``: the given name, or the best one.
 
     ``exclude`` (a name or a one-row pick) is skipped, which gives the
     rival; if nobody else is there, the rival is the excluded player.
     """
-    ranked = ranked_players(rows, role, fmt).select("full_name", "value")
+    if isinstance(rows, Board):
+        first = 2 if exclude is not None else 1  # the rival is the best of the first two that is not excluded
+        ranked = relevant(rows, fmt).where(_at(*range(1, first + 1))).select("full_name", "value")
+    else:
+        ranked = ranked_players(rows, role, fmt).select("full_name", "value")
     if player is not None:
         return ranked.sparkSession.range(1).select(F.lit(player).alias("full_name"))
     if exclude is None:
@@ -143,22 +209,30 @@ def _is(player: str) -> Column:
     return F.coalesce(F.col("full_name") == F.lit(player), F.lit(False))
 
 
-def _chosen(rows: DataFrame, role: str, fmt: str, player: str | None) -> DataFrame | str:
-    """A named player as the name itself, else the best one as a one-row frame."""
-    return pick_player(rows, role, fmt) if player is None else player
+def _chosen(rows: DataFrame | Board, role: str, fmt: str, player: str | None,
+            here: bool = False) -> DataFrame | Column | str:
+    """A named player as the name itself, else the best one: as a one-row frame, or, where only
+    the format's cards are looked at (``here``), as a condition on them."""
+    if player is not None:
+        return player
+    if here and isinstance(rows, Board):
+        return (F.col("format") == fmt) & _at(1)
+    return pick_player(rows, role, fmt)
 
 
-def _only(rows: DataFrame, pick: DataFrame | str) -> DataFrame:
-    """Rows of one player: a literal filter for a name, a broadcast semi-join
-    for a one-row pick."""
+def _only(rows: DataFrame, pick: DataFrame | Column | str) -> DataFrame:
+    """Rows of one player: a literal filter for a name or position, a broadcast
+    semi-join for a one-row pick."""
+    if isinstance(pick, Column):
+        return rows.where(pick)
     if isinstance(pick, str):
         return rows.where(F.col("full_name") == F.lit(pick))
     return rows.join(F.broadcast(pick), "full_name", "left_semi")
 
 
-def _flag(rows: DataFrame, pick: DataFrame | str, name: str) -> DataFrame:
-    if isinstance(pick, str):
-        return rows.withColumn(name, _is(pick))
+def _flag(rows: DataFrame, pick: DataFrame | Column | str, name: str) -> DataFrame:
+    if isinstance(pick, (Column, str)):
+        return rows.withColumn(name, _is(pick) if isinstance(pick, str) else F.coalesce(pick, F.lit(False)))
     p = pick.select(F.col("full_name").alias(f"__{name}"), F.lit(True).alias(name))
     return (rows.join(F.broadcast(p), F.col("full_name") == F.col(f"__{name}"), "left")
             .drop(f"__{name}").fillna(False, subset=[name]))
@@ -185,7 +259,10 @@ def _long(df_one_row: DataFrame, items: list[tuple[str, dict[str, str]]],
 def metric_availability(rows: DataFrame, role: str) -> DataFrame:
     """B2: per board metric of the role, whether any row (any format) has it."""
     s = spec(role)
-    one = rows.agg(*[F.max(F.col(m).isNotNull()).alias(f"a{i}") for i, m in enumerate(s.metrics)])
+    if isinstance(rows, Board):
+        one = rows.available.select(*[F.col(f"has_{m}").alias(f"a{i}") for i, m in enumerate(s.metrics)])
+    else:
+        one = rows.agg(*[F.max(F.col(m).isNotNull()).alias(f"a{i}") for i, m in enumerate(s.metrics)])
     out = _long(one, [(m, {"available": f"a{i}"}) for i, m in enumerate(s.metrics)],
                 [("available", "BOOLEAN")])
     pos = F.array_position(F.array(*[F.lit(m) for m in s.metrics]), F.col("metric")).cast("int")
@@ -201,18 +278,27 @@ def _metric_values(rows: DataFrame, role: str, metrics: tuple[str, ...], fmt: st
     Availability is over the role's rows of every format (B2); values are
     over the picked players' rows of ``fmt``.  One aggregation pass;
     ``carry`` aggregates (e.g. a country) are repeated on every row.
+    Of a ``Board`` only the picked cards and the row of flags are read.
     """
     text = any(m in FIRST_METRICS for m in metrics)
+    stored = isinstance(rows, Board)
+    flagged = relevant(rows, fmt) if stored else rows
+    if stored:
+        for pick in picks.values() if pair is None else ():
+            flagged = _only(flagged, F.col("full_name") == pick if isinstance(pick, str) else pick)
     if pair is not None:  # a compared pair: flags "first"/"second"
-        flagged = pair(rows)
+        flagged = pair(flagged)
+        if stored:
+            flagged = flagged.where(F.col("first") | F.col("second"))
     else:
-        flagged = rows
         for name, pick in picks.items():
             flagged = _flag(flagged, pick, name)
+    if stored:
+        flagged = flagged.unionByName(rows.available, allowMissingColumns=True)
     in_fmt = F.col("format") == fmt
     aggs = []
     for i, m in enumerate(metrics):
-        aggs.append(F.max(F.col(m).isNotNull()).alias(f"a{i}"))
+        aggs.append(F.max(F.col(f"has_{m}") if stored else F.col(m).isNotNull()).alias(f"a{i}"))
         for name in picks:
             v = metric_agg(m, in_fmt & F.col(name))
             if m in FIRST_METRICS:
@@ -255,9 +341,12 @@ def _slots(rows: DataFrame, role: str, fmt: str, player: str | None = None,
     top-2 of the ranking; the window numbers those two rows only.
     """
     from pyspark.sql.window import Window
-    ranked = ranked_players(rows, role, fmt).select("full_name", "value")
+    if isinstance(rows, Board):  # the best two are two stored rows
+        ranked = relevant(rows, fmt).where(_at(1, 2)).select("full_name", "value")
+    else:
+        ranked = ranked_players(rows, role, fmt).select("full_name", "value")
     order = [_num(F.col("value")).desc(), F.col("full_name")]
-    spark = rows.sparkSession
+    spark = ranked.sparkSession
     if player is None and rival is None:
         top2 = ranked.orderBy(*order).limit(2)
         w = Window.orderBy(*order)
@@ -285,10 +374,15 @@ def _slots(rows: DataFrame, role: str, fmt: str, player: str | None = None,
 
 
 def _pair(rows: DataFrame, role: str, fmt: str, player: str | None,
-          rival: str | None) -> Callable[[DataFrame], DataFrame]:
+          rival: str | None, here: bool = False) -> Callable[[DataFrame], DataFrame]:
     """Adds boolean ``first``/``second`` columns to a frame: literals if both
     players are named, else one broadcast join with the (at most two-row)
-    slots frame."""
+    slots frame; positions, if only the format's cards are flagged (``here``)
+    and no default rival of a named player has to be found."""
+    if here and isinstance(rows, Board) and (player is None or rival is not None):
+        first = _at(1) if player is None else _is(player)
+        second = _is(rival) if rival is not None else _at(2) | (_at(1) & (F.col("players") == 1))
+        return lambda df: df.withColumns({"first": first, "second": second})
     if player is not None and rival is not None:
         return lambda df: df.withColumns({"first": _is(player), "second": _is(rival)})
     slots = _slots(rows, role, fmt, player, rival)
@@ -303,19 +397,19 @@ def _flag_pair(rows: DataFrame, slots: DataFrame) -> DataFrame:
 
 def kpis(rows: DataFrame, role: str, fmt: str, player: str | None = None) -> DataFrame:
     """The role's KPI metrics (the available ones) of a player."""
-    a = _chosen(rows, role, fmt, player)
+    a = _chosen(rows, role, fmt, player, here=True)
     return _metric_values(rows, role, spec(role).kpis, fmt, {"value": a}, None)
 
 
 def profile(rows: DataFrame, role: str, fmt: str, player: str | None = None) -> DataFrame:
     """The role's profile metrics (the available ones) of a player."""
-    a = _chosen(rows, role, fmt, player)
+    a = _chosen(rows, role, fmt, player, here=True)
     return _metric_values(rows, role, spec(role).profile, fmt, {"value": a}, None)
 
 
 def versus_card(rows: DataFrame, role: str, fmt: str, player: str | None = None) -> DataFrame:
     """First four available board metrics of a player, with the country."""
-    a = _chosen(rows, role, fmt, player)
+    a = _chosen(rows, role, fmt, player, here=True)
     mine = (F.col("format") == fmt) & F.col("value")
     country = F.coalesce(F.min(F.when(mine, F.col("country"))), F.lit("Unknown country"))
     return _metric_values(rows, role, spec(role).metrics, fmt, {"value": a}, 4,
@@ -329,7 +423,7 @@ def versus(rows: DataFrame, role: str, fmt: str, player: str | None = None,
     Per metric: both values, each as % of the larger (at least 1, bars
     floored at 5) and whether the first wins (a tie goes to the second).
     """
-    pair = _pair(rows, role, fmt, player, rival)
+    pair = _pair(rows, role, fmt, player, rival, here=True)
     vals = _metric_values(rows, role, spec(role).metrics, fmt, ("first", "second"), 5,
                           pair=pair)
     return _percentages(vals, floor=5.0)
@@ -350,7 +444,7 @@ def versus_by_format(rows: DataFrame, role: str, fmt: str, player: str | None =
                      rival: str | None = None) -> DataFrame:
     """Player vs rival on the primary metric in each format (all shown)."""
     primary = spec(role).primary
-    flagged = _pair(rows, role, fmt, player, rival)(rows)
+    flagged = _pair(rows, role, fmt, player, rival)(_frame(rows))
     aggs = []
     for i, f in enumerate(BOARD_FORMAT_ORDER):
         in_f = F.col("format") == f
@@ -383,7 +477,7 @@ def format_bars(rows: DataFrame, role: str, fmt: str, player: str | None = None)
     """
     primary = spec(role).primary
     a = _chosen(rows, role, fmt, player)
-    mine = _only(rows, a)
+    mine = _only(_frame(rows), a)
     aggs = [metric_agg(primary, F.col("format") == f).cast("double").alias(f"v{i}")
             for i, f in enumerate(BOARD_FORMAT_ORDER)]
     one = mine.agg(*aggs)
@@ -409,7 +503,7 @@ def best_format(rows: DataFrame, role: str, fmt: str, player: str | None = None,
     board's profile card does; ``"all"`` at every format.
     """
     primary = spec(role).primary
-    a = _chosen(rows, role, fmt, player)
+    a = _chosen(rows, role, fmt, player, here=scope == "format")
     mine = _only(relevant(rows, fmt if scope == "format" else None), a)
     structs = []
     for i, f in enumerate(BOARD_FORMAT_ORDER):
@@ -433,9 +527,7 @@ def leaderboard(rows: DataFrame, role: str, fmt: str, metric: str | None = None,
     """
     s = spec(role)
     metric = metric or s.primary
-    per = (relevant(rows, fmt).groupBy("full_name")
-           .agg(metric_agg(metric).alias("value"), F.min("country").alias("country"))
-           .where(F.col("value").isNotNull()))
+    per = _per_player(rows, fmt, metric).where(F.col("value").isNotNull())
     if role == "bowler" and metric in ASCENDING_BOWLING_METRICS:
         v = F.col("value").cast("double")
         order = [F.when(v != 0, v).asc_nulls_last(), F.col("full_name")]
@@ -448,6 +540,37 @@ def leaderboard(rows: DataFrame, role: str, fmt: str, metric: str | None = None,
                        F.col("value").cast("double").alias("value"))
 
 
+# ------------------------------------------------ name search (T10) by trigrams
+#: Characters of a gram of the name index; shorter queries scan the cards.
+GRAM = 3
+
+
+def postings(numbered_cards: DataFrame) -> DataFrame:
+    """The name index: a row per distinct trigram of each lower-cased name and its card."""
+    low = F.lower(F.col("full_name"))
+    # a name shorter than a gram has none, and no query of a gram or more is in it
+    starts = F.when(F.length(low) >= GRAM, F.sequence(F.lit(1), F.length(low) - GRAM + 1)).otherwise(
+        F.array().cast("array<int>"))
+    grams = F.array_distinct(F.transform(starts, lambda i: F.substr(low, i, F.lit(GRAM))))
+    return numbered_cards.select(F.explode(grams).alias("gram"), "format", "position", "full_name", "value", "country")
+
+
+def relevant_postings(index: DataFrame, fmt: str) -> DataFrame:
+    return index.where(F.col("format") == check_format(fmt, allow_all=False))
+
+
+def search(index: DataFrame, query: str) -> DataFrame:
+    """(full_name, value, country) of the names that hold ``query`` (lower case, GRAM characters or more):
+    the postings of its trigrams, intersected by position, then verified on the name."""
+    grams = sorted({query[i:i + GRAM] for i in range(len(query) - GRAM + 1)})
+    hits = index.where(F.col("gram").isin(*grams))
+    if len(grams) > 1:
+        hits = hits.groupBy("position", "full_name").agg(
+            F.count(F.lit(1)).alias("n"), F.first("value").alias("value"), F.first("country").alias("country")
+        ).where(F.col("n") == len(grams))
+    return hits.where(F.lower(F.col("full_name")).contains(query)).select("full_name", "value", "country")
+
+
 def suggestions(rows: DataFrame, role: str, fmt: str, query: str = "",
                 exclude: str | None = None, exclude_selected: bool = False,
                 top: int = 8) -> DataFrame:
@@ -456,10 +579,13 @@ def suggestions(rows: DataFrame, role: str, fmt: str, query: str = "",
     ``exclude_selected`` drops the currently selected player (the default
     pick unless ``exclude`` names one), as the compare box does.
     """
-    ranked = ranked_players(rows, role, fmt)
     query = query.strip().lower()
-    if query:
-        ranked = ranked.where(F.lower(F.col("full_name")).contains(query))
+    if isinstance(rows, Board) and rows.index is not None and len(query) >= GRAM:
+        ranked = search(relevant_postings(rows.index, fmt), query)
+    else:
+        ranked = _per_player(rows, fmt, spec(role).primary)
+        if query:
+            ranked = ranked.where(F.lower(F.col("full_name")).contains(query))
     if exclude_selected or exclude is not None:
         sel = _chosen(rows, role, fmt, exclude)
         if isinstance(sel, str):
@@ -494,9 +620,9 @@ def player_names(rows: DataFrame, fmt: str) -> DataFrame:
             .orderBy(F.collate("full_name", "UNICODE"), "full_name"))
 
 
-def player_count(*role_rows: DataFrame) -> DataFrame:
+def player_count(*role_rows: DataFrame | Board) -> DataFrame:
     """Distinct player names over every role and format loaded."""
-    names = [r.select("full_name") for r in role_rows]
+    names = [_frame(r).select("full_name") for r in role_rows]
     u = names[0]
     for n in names[1:]:
         u = u.unionByName(n)
@@ -506,13 +632,15 @@ def player_count(*role_rows: DataFrame) -> DataFrame:
 def player_header(rows: DataFrame, role: str, fmt: str, player: str | None = None,
                   scope: str = "format") -> DataFrame:
     """A player's name, countries and formats (Test, ODI, T20 order)."""
-    a = _chosen(rows, role, fmt, player)
+    a = _chosen(rows, role, fmt, player, here=scope == "format")
     mine = _only(relevant(rows, fmt if scope == "format" else None), a)
+    if isinstance(rows, Board):
+        countries = F.array_sort(F.array_distinct(F.flatten(F.collect_list("countries"))))
+    else:
+        countries = F.array_sort(F.collect_set(F.when(F.col("country") != "", F.col("country"))))
     have = [F.max(F.col("format") == f).alias(f"h{i}") for i, f in enumerate(BOARD_FORMAT_ORDER)]
     one = mine.agg(
-        F.min("full_name").alias("full_name"),
-        F.array_sort(F.collect_set(F.when(F.col("country") != "", F.col("country"))))
-        .alias("countries"), *have)
+        F.min("full_name").alias("full_name"), countries.alias("countries"), *have)
     formats = F.filter(F.array(*[F.when(F.col(f"h{i}"), F.lit(f))
                                  for i, f in enumerate(BOARD_FORMAT_ORDER)]),
                        lambda x: x.isNotNull())
@@ -522,7 +650,9 @@ def player_header(rows: DataFrame, role: str, fmt: str, player: str | None = Non
 def compare_header(rows: DataFrame, role: str, fmt: str, player: str | None = None,
                    rival: str | None = None) -> DataFrame:
     """The country of each compared player ("Unknown" if none)."""
-    flagged = _pair(rows, role, fmt, player, rival)(relevant(rows, fmt))
+    flagged = _pair(rows, role, fmt, player, rival, here=True)(relevant(rows, fmt))
+    if isinstance(rows, Board):
+        flagged = flagged.where(F.col("first") | F.col("second"))
     one = flagged.agg(*[
         F.min(F.when(F.col(w), F.col(c))).alias(f"{w}_{c}")
         for w in ("first", "second") for c in ("full_name", "country")])
@@ -539,11 +669,19 @@ def format_ranking(rows: DataFrame, role: str, fmt: str, top: int = 25) -> DataF
     Keys descend with NULL as 0; ties break by name, country and the other
     shown columns so the cut at 25 is deterministic.
     """
+    return (relevant(rows, fmt).orderBy(*format_ranking_order(role)).limit(top)
+            .select(*spec(role).ranking_columns))
+
+
+def format_ranking_order(role: str) -> list[Column]:
+    s = spec(role)
+    return [*[_num(F.col(k)).desc() for k in s.ranking_sort], *[F.col(c).asc_nulls_first() for c in s.ranking_columns]]
+
+
+def format_ranking_rows(rows: DataFrame, role: str) -> DataFrame:
+    """The shown columns and the sort keys of T5, for every format."""
     s = spec(role)
-    keys = [_num(F.col(k)).desc() for k in s.ranking_sort]
-    rest = [F.col(c).asc_nulls_first() for c in s.ranking_columns]
-    return (relevant(rows, fmt).orderBy(*keys, *rest).limit(top)
-            .select(*s.ranking_columns))
+    return rows.select("format", *dict.fromkeys((*s.ranking_columns, *s.ranking_sort)))
 
 
 # Columns the board shows for the all-format rankings and country tables

@@ -9,7 +9,7 @@ frame (``show``, ``write``, ``toLocalIterator``, ``json_records``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorelake.functions.scalars import round_half_up
@@ -78,9 +78,12 @@ def country_stats(country_table: DataFrame, role: str, fmt: str = ALL,
 
 def rankings(player_table: DataFrame, role: str) -> DataFrame:
     """The all-format player table in ranking order (NULLs first)."""
+    return player_table.orderBy(*ranking_order(role))
+
+
+def ranking_order(role: str) -> list[Column]:
     keys = RANKING_KEYS[spec(role).name]
-    return player_table.orderBy(*[F.col(k).desc_nulls_first() for k in keys],
-                                F.col("full_name"), F.col("country"))
+    return [*[F.col(k).desc_nulls_first() for k in keys], F.col("full_name"), F.col("country")]
 
 
 def countries(spark: SparkSession) -> DataFrame:

@@ -4,16 +4,14 @@ Names follow the source tables.  Physically, the nine per-format country
 tables are three role tables partitioned by ``format`` (one aggregation per
 role instead of three), and the three all-format unions are projections of
 the silver role datasets (no copy); the registry maps each name onto that.
+Beside them a refresh stores what serving reads: rankings and board cards with
+positions, the "All" rollup, metric flags and the index of names.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Callable
 
-from pyspark.sql import DataFrame
-
-from scorelake.operators import gold, serve
 from scorelake.specs import FORMATS, ROLES
 
 
@@ -52,19 +50,33 @@ def refresh_order() -> list[Derived]:
     return sorted(DERIVED, key=lambda d: d.level)
 
 
-def stored_order(role: str) -> list[tuple[str, Callable[[DataFrame], DataFrame]]]:
-    """The stored gold datasets of a role in dependency order, each with its builder over silver.
-
-    Unions are views over silver and are not stored; the per-format country tables share one dataset,
-    whose "All" rollup (G13-G15) is stored beside it.
-    """
-    out: dict[str, Callable[[DataFrame], DataFrame]] = {}
-    for d in refresh_order():
-        if d.role != role or d.kind == "union":
-            continue
-        if d.kind == "country":
-            out.setdefault(d.physical, lambda silver: gold.country_wise(silver, role))
-        else:
-            out[d.physical] = lambda silver: gold.player_all_formats(gold.union_stats(silver, role), role)
-    out[f"gold/country_all_{role}"] = lambda silver: serve.country_stats(gold.country_wise(silver, role), role)
-    return list(out.items())
+def parents(role: str) -> dict[str, str | None]:
+    """The stored datasets of a role, each with the one it is built from, in building order."""
+    return {
+        f"bronze/{role}": None,
+        f"silver/{role}": f"bronze/{role}",
+        f"gold/country_wise_{role}": f"silver/{role}",
+        f"gold/player_stats_all_formats_{role}": f"silver/{role}",
+        f"gold/cards_{role}": f"silver/{role}",
+        f"gold/format_ranking_{role}": f"silver/{role}",
+        f"gold/availability_{role}": f"silver/{role}",
+        f"gold/country_all_{role}": f"gold/country_wise_{role}",
+        f"gold/ranking_{role}": f"gold/player_stats_all_formats_{role}",
+        f"gold/name_index_{role}": f"gold/cards_{role}",
+    }
+
+
+def closure(role: str, dataset: str) -> list[str]:
+    """A dataset and everything built from it, in building order."""
+    up = parents(role)
+    if dataset not in up:
+        raise ValueError(f"{role} has no dataset {dataset!r}; expected one of {list(up)}")
+    out = [dataset]
+    for name, parent in up.items():
+        if parent in out and name not in out:
+            out.append(name)
+    return out
+
+
+def role_of(dataset: str) -> str:
+    return next(r for r in ROLES if dataset.endswith(f"_{r}") or dataset.endswith(f"/{r}"))

@@ -8,8 +8,9 @@ cluster)::
     gold/country_wise_<role>/format=<fmt>/
     gold/player_stats_all_formats_<role>/
 
-``refresh`` writes a whole tree of this layout per version, under
-``versions/<version>/``, and ``_published`` says which version serves a role.
+``refresh`` writes a tree of this layout per version, under
+``versions/<version>/``, and ``_published`` says which version serves a role or
+a dataset.
 Role datasets are partitioned by format, so a per-format read prunes to one
 directory (``PartitionFilters``) and a role-wide read is one scan.  A write
 can replace only the partitions present in the frame
@@ -19,6 +20,8 @@ others.
 
 from __future__ import annotations
 
+import time
+import uuid
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -150,40 +153,91 @@ def read_gold(spark: SparkSession, lake_root: str, name: str, schema: T.StructTy
 
 
 # ------------------------------------------------------------------- versions
-_VERSIONS = "role string, version string"
+#: A ledger row: from this version on, a role (all its datasets) or one dataset is there, or is dropped.
+_VERSIONS = "name string, version string, live boolean"
+
+
+def new_version() -> str:
+    """A name that sorts by time."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
 def version_root(lake_root: str, version: str) -> str:
     return f"{lake_root}/versions/{version}"
 
 
-def publish(spark: SparkSession, lake_root: str, version: str, roles) -> None:
-    """Make a written version the current one of these roles: one appended file, so all or none."""
-    rows = spark.createDataFrame([(r, version) for r in roles], _VERSIONS)
-    rows.coalesce(1).write.mode("append").json(f"{lake_root}/_published")
+def _fs(spark: SparkSession, path: str):
+    """(Hadoop file system, path object): Spark has no public way to list or delete folders; its own client has."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
-def published(spark: SparkSession, lake_root: str) -> dict[str, list[str]]:
-    """Versions of each role, newest first (a row per refresh and role)."""
-    rows = spark.read.schema(_VERSIONS).json(f"{lake_root}/_published").collect()
-    out: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: r.version, reverse=True):
-        out.setdefault(r.role, []).append(r.version)
-    return out
+def delete(spark: SparkSession, path: str) -> bool:
+    fs, at = _fs(spark, path)
+    return fs.delete(at, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    fs, at = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def publish(spark: SparkSession, lake_root: str, version: str, names, live: bool = True) -> None:
+    """Make a written version the current one of these roles or datasets, or drop them from it on.
+
+    One file in a ledger folder of its own, so all or none; folders of dropped versions go with them."""
+    rows = spark.createDataFrame([(n, version, live) for n in names], _VERSIONS)
+    rows.coalesce(1).write.json(f"{lake_root}/_published/{version}")
+
+
+class Ledger:
+    """Which versions of a lake hold a dataset, newest first; as of when it was opened."""
+
+    def __init__(self, spark: SparkSession, lake_root: str):
+        self.root = lake_root
+        found = folders(spark, f"{lake_root}/_published")
+        rows = spark.read.schema(_VERSIONS).json([f"{lake_root}/_published/{v}" for v in found]).collect() if found else []
+        self.rows = sorted(((r.version, r.name, r.live) for r in rows), reverse=True)
+
+    def versions(self, role: str, dataset: str) -> list[tuple[str, bool]]:
+        return [(v, live) for v, name, live in self.rows if name in (role, dataset)]
+
+    def roles(self) -> set[str]:
+        return {name for _, name, _ in self.rows if "/" not in name}
+
+    def root_of(self, role: str, dataset: str) -> str | None:
+        """The root that holds the dataset now (None: it is dropped or was never there)."""
+        have = self.versions(role, dataset)
+        return version_root(self.root, have[0][0]) if have and have[0][1] else None
+
 
+def drop_versions(spark: SparkSession, lake_root: str, keep: int = 2, min_age: float = 3600.0,
+                  orphan_age: float = 86400.0) -> list[str]:
+    """Remove stale versions, with their ledger entries.
 
-def drop_versions(spark: SparkSession, lake_root: str, keep: int = 1) -> list[str]:
-    """Remove published versions that are not among the newest ``keep`` of any role."""
-    have = published(spark, lake_root)
-    used = {v for versions in have.values() for v in versions[:max(1, keep)]}
-    stale = sorted({v for versions in have.values() for v in versions} - used)
+    A version stays while it is among the newest ``keep`` of any dataset, or was replaced less than
+    ``min_age`` seconds ago: readers that opened it go on reading. Folders that were never published
+    (failed runs) go after ``orphan_age`` seconds."""
+    from scorelake.plans.registry import parents  # the datasets of a role
+    ledger = Ledger(spark, lake_root)
+    now = time.time_ns()
+    old = {v for v, _, _ in ledger.rows}
+    for role in ledger.roles():
+        for dataset in parents(role):
+            have = [v for v, _ in ledger.versions(role, dataset)]
+            for at, v in enumerate(have):
+                replaced = int(have[at - 1].split("-")[0]) if at else now
+                if at < max(1, keep) or now - replaced < min_age * 1e9:
+                    old.discard(v)
     dropped = []
-    # Spark has no public way to delete a path; its own Hadoop client has
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for v in stale:
-        path = jvm.org.apache.hadoop.fs.Path(version_root(lake_root, v))
-        if path.getFileSystem(conf).delete(path, True):
+    for v in sorted(old):
+        delete(spark, f"{lake_root}/_published/{v}")  # first: nothing points at a folder that is going
+        if delete(spark, version_root(lake_root, v)):
             dropped.append(v)
+    known = {v for v, _, _ in ledger.rows}
+    for v in folders(spark, f"{lake_root}/versions"):
+        if v not in known and now - int(v.split("-")[0]) > orphan_age * 1e9:
+            delete(spark, version_root(lake_root, v))
     return dropped
 
 

@@ -20,5 +20,10 @@ def spark():
 
 @pytest.fixture(scope="session")
 def smoke_cards(spark):
+    """The lazy layers over raw cards that were landed once."""
+    import uuid
+
     from scorelake.plans.layers import Scorecards
-    return Scorecards.from_fixture(spark, SMOKE)
+    from scorelake.plans.refresh import land_fixture
+    root = f"{spark.conf.get('spark.checkpoint.dir')}/landed-{uuid.uuid4().hex}"
+    return Scorecards.from_raw(spark, land_fixture(spark, SMOKE, root))

@@ -6,8 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from scorelake.plans import registry
 from scorelake.plans.layers import Scorecards
-from scorelake.plans.refresh import refresh
+from scorelake.plans.refresh import drop_derived, refresh, refresh_derived
 from scorelake.sources import fixture, lake
 from scorelake.specs import FORMATS, ROLES
 from tests.conftest import SMOKE
@@ -37,7 +38,7 @@ def test_csv_refresh_matches_lazy(spark, smoke_cards, tmp_path):
     _write_csvs(spark, src)
     root = f"{spark.conf.get('spark.checkpoint.dir')}/lake-{uuid.uuid4().hex}"
     report = refresh(spark, root, src=src)
-    assert len(report.written) == 15
+    assert len(report.written) == 30
     stored = Scorecards.from_lake(spark, root)
     for role in ROLES:
         assert _canon(stored.player_table(role)) == _canon(smoke_cards.player_table(role))
@@ -96,11 +97,69 @@ def test_refresh_of_one_role_leaves_the_others(spark, smoke_cards):
     assert again.dropped == []
     lake_now = Scorecards.from_lake(spark, root)
     assert _canon(lake_now.rankings("bowler")) == before and lake_now.rankings("fielder").count() > 0
-    third = refresh(spark, root, raw=raw)
+    third = refresh(spark, root, raw=raw, keep=1, min_age=0)
     assert sorted(third.dropped) == sorted([first.version, again.version])
     assert _canon(Scorecards.from_lake(spark, root).rankings("bowler")) == before
 
 
+def test_an_open_reader_survives_refreshes(spark, smoke_cards):
+    root, raw = _root(spark), {"bowler": smoke_cards.raw("bowler")}
+    refresh(spark, root, raw=raw, roles=("bowler",))
+    reader = Scorecards.from_lake(spark, root)
+    before = _canon(reader.rankings("bowler"))
+    half = {"bowler": raw["bowler"].where(F.col("format") == "ODI")}
+    for _ in range(2):  # replaced twice over, but less than min_age ago
+        assert refresh(spark, root, raw=half, roles=("bowler",)).dropped == []
+    assert _canon(reader.rankings("bowler")) == before
+    assert _canon(reader.country_stats("bowler", "All")) == _canon(smoke_cards.country_stats("bowler", "All"))
+    now = Scorecards.from_lake(spark, root)
+    assert now.silver("bowler").select("format").distinct().count() == 1 and _canon(now.rankings("bowler")) != before
+    # keep counts whatever the age; the ledger holds an entry per version that is left
+    assert len(refresh(spark, root, raw=half, roles=("bowler",), keep=2, min_age=0).dropped) == 2
+    assert len(lake.folders(spark, f"{root}/_published")) == len(lake.folders(spark, f"{root}/versions")) == 2
+
+
+def test_folders_of_failed_runs_go_after_a_while(spark, smoke_cards):
+    root = _root(spark)
+    refresh(spark, root, raw={"fielder": smoke_cards.raw("fielder")}, roles=("fielder",))
+    spark.range(1).write.parquet(f"{lake.version_root(root, lake.new_version())}/bronze/fielder")  # never published
+    for age, left in ((86400.0, 2), (0.0, 1)):
+        lake.drop_versions(spark, root, orphan_age=age)
+        assert len(lake.folders(spark, f"{root}/versions")) == left
+    assert Scorecards.from_lake(spark, root).rankings("fielder").count() > 0
+
+
+def test_refresh_of_one_derived_name_and_what_hangs_on_it(spark, smoke_cards):
+    import pytest
+    root, raw = _root(spark), {r: smoke_cards.raw(r) for r in ("batsmen", "fielder")}
+    refresh(spark, root, raw=raw, roles=tuple(raw))
+    before = lake.Ledger(spark, root)
+    report = refresh_derived(spark, root, "player_stats_all_formats_batsmen")
+    assert report.written == ["gold/player_stats_all_formats_batsmen", "gold/ranking_batsmen"]
+    after = lake.Ledger(spark, root)
+    for role in raw:
+        for dataset in registry.parents(role):
+            moved = before.root_of(role, dataset) != after.root_of(role, dataset)
+            assert moved == (dataset in report.written), dataset
+    cards = Scorecards.from_lake(spark, root)
+    assert _canon(cards.rankings("batsmen")) == _canon(smoke_cards.rankings("batsmen"))
+    # one per-format country name stands for its dataset and the "All" rollup over it
+    gone = drop_derived(spark, root, "odi_batsmen_stats_country_wise")
+    assert gone == ["gold/country_wise_batsmen", "gold/country_all_batsmen"]
+    assert _canon(cards.country_stats("batsmen", "All")) == _canon(smoke_cards.country_stats("batsmen", "All"))
+    now = Scorecards.from_lake(spark, root)
+    for ask in (lambda: now.country_stats("batsmen", "All"), lambda: now.table("odi_batsmen_stats_country_wise")):
+        with pytest.raises(ValueError, match="dropped"):
+            ask()
+    assert now.rankings("batsmen").count() > 0 and now.country_stats("fielder", "All").count() > 0
+    refresh_derived(spark, root, "odi_batsmen_stats_country_wise")
+    again = Scorecards.from_lake(spark, root)
+    assert _canon(again.country_stats("batsmen", "All")) == _canon(smoke_cards.country_stats("batsmen", "All"))
+    for name in ("batsmen_stats", "nothing"):
+        with pytest.raises(ValueError):
+            refresh_derived(spark, root, name)
+
+
 def test_a_failed_refresh_leaves_the_lake_serving(spark, smoke_cards):
     import pytest
     root, raw = _root(spark), {r: smoke_cards.raw(r) for r in ROLES}
