@@ -683,7 +683,7 @@ def _refresh_one_name(spark, d):
             if (before.root_of(role, dataset) != after.root_of(role, dataset)) != (dataset in report.written):
                 raise AssertionError(f"{dataset} changed with player_stats_all_formats_bowler, or did not follow it")
     cards = Scorecards.from_lake(spark, root)
-    return cards._gold("bowler", "ranking_bowler").drop("block")
+    return cards.stored_ranking("bowler")
 
 
 @_reg("reader_across_refreshes", O.with_roles(
@@ -704,6 +704,32 @@ def _reader_across_refreshes(spark, d):
         later.player_table("fielder").select(F.lit("after").alias("reader"), "*"))
 
 
+def _sql_function(spark, d, query):
+    from scorelake.plans import sqlfunctions
+    sqlfunctions.register(_lake(spark, d))
+    return spark.sql(query)
+
+
+# P1-P6 as SQL table functions: the same rows as the functions of the library
+for _role in ROLES:
+    _fmt = _BOARD_FMT[_role]
+    _cols = ", ".join(f"`{out}`" for _, out in spec(_role).serve[_fmt])
+    _reg(f"sql_players_{_role}", _SQL[f"players_{_role}_{_fmt.lower()}"])(
+        lambda spark, d, q=f"SELECT {_cols} FROM players('{_role}', '{_fmt}')": _sql_function(spark, d, q))
+    _cols = ", ".join(serve.COUNTRY_COLUMNS[_role])
+    _reg(f"sql_country_all_{_role}", _SQL[f"country_all_{_role}"])(
+        lambda spark, d, q=f"SELECT {_cols} FROM country_stats('{_role}', 'All')": _sql_function(spark, d, q))
+    _reg(f"sql_country_list_{_role}", _SQL[f"country_list_{_role}_{_fmt.lower()}"])(
+        lambda spark, d, q=f"SELECT {_cols} FROM country_stats('{_role}', '{_fmt}')": _sql_function(spark, d, q))
+_reg("sql_country_filter", _SQL["country_filter"])(lambda spark, d: _sql_function(
+    spark, d, f"SELECT {', '.join(serve.COUNTRY_COLUMNS['bowler'])} FROM country_stats('bowler', 'ODI') "
+    "WHERE country = 'Pakistan'"))
+_reg("sql_ranking_top", O.with_roles(
+    "SELECT full_name, country, total_wickets, position FROM (" + _ranking_sql("bowler") + ") WHERE position <= 25",
+    ["bowler"], extra=O.player_table_cte("bowler")))(lambda spark, d: _sql_function(
+        spark, d, "SELECT full_name, country, total_wickets, position FROM rankings('bowler') WHERE position <= 25"))
+
+
 # ============================== text operators, if their subpackage is there
 try:
     import corpus_pipeline

@@ -138,6 +138,11 @@ class Scorecards:
             return self._gold(role, f"ranking_{role}").drop("block").orderBy("position").drop("position")
         return serve.rankings(self.player_table(role), role)
 
+    def stored_ranking(self, role: str) -> DataFrame:
+        """The stored ranking with its positions, in no order."""
+        role = spec(role).name
+        return self._gold(role, f"ranking_{role}").drop("block")
+
     def ranking_page(self, role: str, first: int = 1, last: int = 25) -> DataFrame:
         """Rows ``first`` to ``last`` of a stored ranking, with their position."""
         role = spec(role).name
