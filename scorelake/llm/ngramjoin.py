@@ -23,10 +23,12 @@ blocks however large the bucket. Of the pairs of members that sizes and a parity
 sketch allow (a lower bound of the symmetric difference, so no true link fails
 it), a block pair first offers only a spanning forest over components. Where all
 of these turn out to be links, whatever else the block pair allows is joined
-too; only buckets with a refuted pair are gone through again, for every pair
-still apart. Of the buckets that such a pair shares (all of them have a refuted
-pair) the smallest offers it alone, as members carry their smaller buckets, so
-no candidate is repeated and a group of copies is never expanded into all pairs. Candidates pass the exact comparison of the sets.
+too; only buckets with a refuted pair are gone through again, and in them only
+the components that some offered pair touched (the others have no candidate
+there), for every pair still apart. Of the buckets that such a pair shares (it is
+a candidate in each) the smallest offers it alone, as members carry their smaller
+buckets, so no candidate is repeated and a group of copies is never expanded into
+all pairs. Candidates pass the exact comparison of the sets.
 ``class_links`` skips the components and returns every link between classes.
 
 Defined results: a text with fewer words than a shingle is one shingle; null
@@ -291,12 +293,12 @@ def _block_pairs(rows: DataFrame, classes: DataFrame, once: bool) -> DataFrame:
 
 
 def _cross(batch: pa.RecordBatch, spanning: bool):
-    """(a, b, sig): pairs of one block pair in different components that sizes and sketches allow, offered in their
+    """(a, b, sig, their components): pairs of one block pair in different components that sizes and sketches allow, offered in their
     first common bucket; with ``spanning``, only such as join components that earlier pairs here have not joined."""
     sig, i, j, block, ids, comp, n = (np.asarray(batch.column(k)) for k in range(7))
     key = np.stack((sig, i, j))
     edge = np.concatenate(([0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1, [len(sig)]))
-    left, right, where = [], [], []
+    left, right, where, comps = [], [], [], ([], [])
     for s, e in zip(edge[:-1].tolist(), edge[1:].tolist()):
         sketches = batch.column(7).slice(s, e - s).to_pylist()
         offsets, flat = _lists(batch.column(8).slice(s, e - s))
@@ -313,10 +315,13 @@ def _cross(batch: pa.RecordBatch, spanning: bool):
                 left.append(int(ids[s + x]))
                 right.append(int(ids[s + y]))
                 where.append(int(sig[s]))
+                for at, k in zip((x, y), comps):
+                    k.append(int(comp[s + at]))
                 if spanning:
                     label[label == label[y]] = label[x]
     if left:
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (left, right, where)], ["a", "b", "sig"])
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (left, right, where, *comps)],
+                                         ["a", "b", "sig", "ca", "cb"])
 
 
 def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -325,9 +330,10 @@ def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _apart(shared: DataFrame, labels: DataFrame | None, classes: DataFrame, spanning: bool) -> DataFrame:
-    """Candidates (a, b, sig) among the members of buckets that are in different components."""
+    """Candidates (a, b, sig, ca, cb) among the members of buckets that are in different components."""
     rows = _block_pairs(_mixed(_labelled(shared, labels)), classes, not spanning)
-    return _runs(rows, partial(_cross, spanning=spanning), 3, "a long, b long, sig long")
+    return _runs(rows, partial(_cross, spanning=spanning), 3,
+                 "a long, b long, sig long, ca long, cb long")
 
 
 def _sketch_filter(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -421,10 +427,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     best = pairs.join(degree.toDF("a", "degree"), "a").groupBy("b").agg(
         F.max_by("a", F.struct("degree", "a")).alias("a")).select("a", "b")
     edges, labels = _grown(None, _verify(best, texts))
-    offered = stored(_apart(shared, labels, classes, True), "offered")
+    before = labels
+    offered = stored(_apart(shared, before, classes, True), "offered")
     edges, labels = _grown(edges, _verify(offered.select("a", "b").distinct(), texts))
     refuted = offered.join(edges, ["a", "b"], "left_anti").select("sig").distinct()
-    again = shared.join(stored(refuted, "refuted"), "sig", "left_semi")
+    touched = offered.select("sig", F.explode(F.array("ca", "cb")).alias("comp")).distinct().join(
+        refuted, "sig", "left_semi")
+    again = stored(_labelled(shared, before).join(stored(touched, "touched"), ["sig", "comp"], "left_semi").select(
+        "sig", "set"), "again")
     edges, labels = _grown(edges, _verify(_apart(again, labels, classes, False).select("a", "b"), texts))
     # names: the smallest document id of the classes of a component
     named = classes.select("set", "name").join(labels, "set", "left").select(
