@@ -66,11 +66,12 @@ def main() -> None:
     timed("serve_players_batsmen_all", lambda: lake.players("batsmen", "All"))
     for role in ("batsmen", "bowler", "fielder"):
         timed(f"serve_rankings_{role}", lambda r=role: lake.rankings(r))
+        timed(f"serve_ranking_page_{role}", lambda r=role: lake.ranking_page(r, 1, 25))
         timed(f"serve_country_all_{role}", lambda r=role: lake.country_stats(r, "All"))
     timed("serve_country_filter", lambda: lake.country_stats("bowler", "ODI", "Pakistan"))
-    bat = lake.rows("batsmen")
+    bat = lake.board("batsmen")  # the stored cards
     timed("board_leaderboard", lambda: board.leaderboard(bat, "batsmen", "Test"))
-    timed("board_format_ranking", lambda: board.format_ranking(bat, "batsmen", "Test"))
+    timed("board_format_ranking", lambda: lake.format_ranking_page("batsmen", "Test", 1, 25))
     timed("board_suggestions", lambda: board.suggestions(bat, "batsmen", "Test", "mer#00001"))
     timed("board_kpis", lambda: board.kpis(bat, "batsmen", "Test"))
     timed("board_versus", lambda: board.versus(bat, "batsmen", "Test"))
