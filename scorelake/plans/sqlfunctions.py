@@ -57,8 +57,9 @@ def register(cards: Scorecards, roles=ROLES) -> list[str]:
     spark = cards.spark
     players = {r: board.board_rows(cards.silver(r), r).drop("role") for r in roles}
     _define(spark, "players", _side_by_side(players), True, f" AND (players.fmt = '{ALL}' OR t.format = players.fmt)")
+    # 'All' as a literal, so that a format's query does not open the rollup
     stats = {r: cards.country_table(r).select(*serve.COUNTRY_COLUMNS[r]).union(
-        cards.country_stats(r, ALL).select(*serve.COUNTRY_COLUMNS[r])) for r in roles}
+        cards.country_stats(r, ALL).withColumn("format", F.lit(ALL)).select(*serve.COUNTRY_COLUMNS[r])) for r in roles}
     _define(spark, "country_stats", _side_by_side(stats), True, " AND t.format = country_stats.fmt")
     ranked = {r: cards.stored_ranking(r) if cards.stored(r) else cards.player_table(r) for r in roles}
     _define(spark, "rankings", _side_by_side(ranked), False, "")
