@@ -11,7 +11,8 @@ The running sum is taken without gathering a source in one task: documents
 fall into hash buckets of a source (about ``BUCKET_ROWS`` each, in number as
 the source grows), the sums of earlier buckets come from a small table, and a
 window counts inside the bucket, by size, so that sizes are spread evenly over
-the sample. Offsets and order depend on ids and ``seed`` only: reruns agree.
+the sample. Offsets and order depend on ids, ``seed`` and, where sizes and ids are
+equal, a hash of the text only: reruns take the same texts.
 
 Defined results: a null text has size 0; a source without words has target 0
 and its documents are not taken; null ids and repeated rows are ordered like
@@ -76,7 +77,7 @@ def copies(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", te
            seed: str = SEED, carry: tuple[str, ...] = ()) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, copies, and the ``carry`` columns."""
     sizes = df.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                      size_of(F.col(text_col)).alias("size"), *carry)
+                      size_of(F.col(text_col)).alias("size"), F.xxhash64(F.col(text_col)).alias("tie"), *carry)
     targets = _small(source_targets(sizes.select("source", "size")).select(
         F.col("source").alias("s"), "docs", "source_size", "target"), "targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -88,7 +89,7 @@ def copies(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", te
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = _small(counts.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(
         F.sum("n").over(earlier), F.lit(0)).alias("before")), "buckets")
-    place = F.row_number().over(Window.partitionBy("source", "bucket").orderBy("size", "doc_id"))
+    place = F.row_number().over(Window.partitionBy("source", "bucket").orderBy("size", "doc_id", "tie"))
     rows = rows.withColumn("place", place).join(
         counts, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).drop("s", "b")
     offset = unit_hash(F.lit(seed), F.lit("offset"), F.coalesce(F.col("source"), F.lit("")))

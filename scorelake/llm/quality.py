@@ -172,6 +172,14 @@ class LabelModel:
         return 1 / (1 + np.exp(np.clip(log[0] - log[1], -50, 50)))
 
 
+def _bound(table: np.ndarray, vote: int, share: np.ndarray) -> None:
+    """Set the share of one vote of each labeller and scale its other votes, so a row stays a distribution."""
+    rest = np.maximum(1 - table[:, vote], 1e-12)
+    scaled = table * ((1 - share) / rest)[:, None]
+    scaled[:, vote] = share
+    table[:] = scaled
+
+
 def fit_labels(vote: np.ndarray, weight: np.ndarray, rounds: int = 100,
                false_bad: float = FALSE_BAD, false_good: float = FALSE_GOOD) -> LabelModel:
     """Expectation-maximisation over vote patterns with their counts, from the number of bad votes."""
@@ -184,8 +192,8 @@ def fit_labels(vote: np.ndarray, weight: np.ndarray, rounds: int = 100,
             for v in (-1, 0, 1):
                 model.table[c, :, v + 1] = ((vote == v) * mass[:, None]).sum(0) + 1.0
             model.table[c] /= model.table[c].sum(1, keepdims=True)
-        model.table[1, :, 0] = np.minimum(model.table[1, :, 0], false_bad)
-        model.table[0, :, 2] = np.maximum(model.table[0, :, 2], false_good)
+        _bound(model.table[1], 0, np.minimum(model.table[1, :, 0], false_bad))
+        _bound(model.table[0], 2, np.maximum(model.table[0, :, 2], false_good))
         new = model.posterior(vote)
         if np.abs(new - p).max() < 1e-6:
             break

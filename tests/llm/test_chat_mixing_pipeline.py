@@ -105,6 +105,14 @@ def test_mix_rows_and_odd_rows(spark, empty):
     assert mixing.copies(empty).count() == 0
 
 
+def test_equal_ids_and_sizes_take_the_same_texts(spark):
+    rows = [(7, "a", f"word{i} tail") for i in range(60)] + [(8, "b", " ".join(["x"] * 9)) for _ in range(20)]
+    schema = "doc_id long, source string, text string"
+    seen = [sorted((r.text, r.copy) for r in mixing.mix(spark.createDataFrame(order, schema).repartition(parts)).collect())
+            for order, parts in ((rows, 1), (rows[::-1], 5), (rows, 3))]
+    assert seen[0] == seen[1] == seen[2] and 0 < len(seen[0])
+
+
 def test_mix_is_native(spark):
     plan = mixing.mix(table(spark, SMALL, "documents"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan

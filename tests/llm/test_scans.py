@@ -208,6 +208,18 @@ def test_em_recovers_planted_accuracies():
     assert np.allclose(model.table[1, :, 0], p_bad[:, 0], atol=0.05)
 
 
+def test_label_model_is_a_distribution_within_its_bounds():
+    rnd = np.random.default_rng(2)
+    truth = rnd.random(5000) < 0.85
+    vote = np.where(truth[:, None], rnd.choice([0, 1], (5000, 6), p=[.1, .9]), rnd.choice([-1, 0, 1], (5000, 6), p=[.4, .2, .4]))
+    kinds, n = np.unique(vote, axis=0, return_counts=True)
+    model = Q.fit_labels(kinds.astype(np.int8), n.astype(float))
+    assert np.allclose(model.table.sum(2), 1) and (model.table > 0).all()
+    assert (model.table[1, :, 0] <= Q.FALSE_BAD + 1e-12).all() and (model.table[0, :, 2] >= Q.FALSE_GOOD - 1e-12).all()
+    kept = model.posterior(vote.astype(np.int8)) > 0.5
+    assert np.mean(kept[truth]) > 0.99 and np.mean(kept[~truth]) < 0.1
+
+
 def test_quality_against_labels(spark):
     rows = {r.doc_id: r for r in queries.op10_quality_classifier(spark, SMALL).collect()}
     labels = duckdb.sql(f"SELECT doc_id, quality FROM '{SMALL}/labels.parquet'").fetchall()
