@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from oracle import sql as O
 from scorelake.functions.names import country_of, full_name_of, team_code_of
 from scorelake.functions.scalars import balls_from_overs, highest_score_text, safe_cast, span_years
-from scorelake.operators import board, serve
+from scorelake.operators import board, drift, serve
 from scorelake.plans.layers import Scorecards
 from scorelake.sources import fixture
 from scorelake.specs import BOARD_FORMAT_ORDER, FORMATS, ROLES, spec
@@ -704,6 +704,39 @@ def _reader_across_refreshes(spark, d):
         later.player_table("fielder").select(F.lit("after").alias("reader"), "*"))
 
 
+for _role in ROLES:
+    _reg(f"type_report_{_role}", O.type_report(_role))(
+        lambda spark, d, r=_role: drift.type_report(_sc(spark, d).raw(r), r))
+
+
+def _named_tables_sql() -> str:
+    """Rows of each of the 24 names."""
+    derived = [(f"{r}_stats", f"silver_{r}") for r in ROLES] + [
+        (f"player_stats_all_formats_{r}", f"pt_{r}") for r in ROLES]
+    by_format = [(f"{f.lower()}_{r}_stats_country_wise", f"cw_{r}", f) for r in ROLES for f in FORMATS] + [
+        (f"{r}_{f.lower()}", f"silver_{r}", f) for r in ROLES for f in FORMATS]
+    parts = [f"SELECT '{n}' AS name, count(*) AS n FROM {t}" for n, t in derived]
+    parts += [f"SELECT '{n}' AS name, count(*) AS n FROM {t} WHERE format = '{f}'" for n, t, f in by_format]
+    return O.with_roles(" UNION ALL ".join(parts), list(ROLES), extra=",\n".join(
+        f(r) for r in ROLES for f in (O.country_wise_cte, O.player_table_cte)))
+
+
+@_reg("catalog_tables", _named_tables_sql())
+def _catalog_tables(spark, d):
+    """The 24 names written to the session's catalog, each read back by its name."""
+    from functools import reduce
+    from uuid import uuid4
+    from scorelake.sources import lake
+    database = f"scorelake_{uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{_scratch_lake(spark)}/catalog'")
+    names = []
+    for name, df in _lake(spark, d).named_tables():
+        lake.write_table(df, f"catalog:{database}", name)
+        names.append(name)
+    return reduce(DataFrame.union, [
+        spark.table(f"{database}.{name}").agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")) for name in names])
+
+
 def _sql_function(spark, d, query):
     from scorelake.plans import sqlfunctions
     sqlfunctions.register(_lake(spark, d))

@@ -99,10 +99,15 @@ def country_case(code: str) -> str:
 
 
 def _typed(role: str, name: str, typ: str) -> str:
+    """One silver column, under its name."""
+    return f"{typed_value(role, name, typ)} AS {q(name)}"
+
+
+def typed_value(role: str, name: str, typ: str) -> str:
     s = spec(role)
     raw = next((r for r, t in s.renames.items() if t == name), name)
     if raw not in s.raw_columns:
-        return f"CAST(NULL AS {_duck(typ)}) AS {q(name)}"
+        return f"CAST(NULL AS {_duck(typ)})"
     x = q(raw)
     if name == "years_active":
         e = f"({int_of(f'string_split({x}, chr(45))[2]')} - {int_of(f'string_split({x}, chr(45))[1]')})"
@@ -118,7 +123,7 @@ def _typed(role: str, name: str, typ: str) -> str:
         e = float_of(x)
     else:
         e = int_of(x)
-    return f"{e} AS {q(name)}"
+    return e
 
 
 def _duck(typ: str) -> str:
@@ -151,6 +156,27 @@ def with_roles(body: str, roles=(), silver=True, extra: str = "") -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
+def type_report(role: str) -> str:
+    """Per format and raw column, the widest kind of text and the values that the cleaning loses."""
+    s = spec(role)
+    raw_of = {t: r for r, t in s.renames.items()}
+    columns = [("Player", "full_name", "string")] + [
+        (raw_of.get(n, n), n, t) for n, t in s.silver if n not in ("full_name", "country", "format")]
+    parts = []
+    for raw, name, typ in columns:
+        x = q(raw) if raw in s.raw_columns else "CAST(NULL AS VARCHAR)"
+        fits = country_case("code") if raw == "Player" else typed_value(role, name, typ)
+        filled = f"coalesce(trim({x}) NOT IN ('', '-'), false)"
+        lost = f"{filled} AND ({fits}) IS NULL"
+        kind = (f"CASE WHEN NOT {filled} THEN 0 WHEN regexp_full_match(trim({x}), '[+-]?[0-9]+') THEN 1 "
+                f"WHEN regexp_full_match(trim({x}), '[+-]?[0-9]+[.][0-9]+') THEN 2 ELSE 3 END")
+        parts.append(f"SELECT format, '{raw}' AS raw_column, '{name}' AS silver_column, '{typ}' AS contract, "
+                     f"['empty', 'int', 'decimal', 'text'][max({kind}) + 1] AS kind, "
+                     f"count(*) FILTER ({filled}) AS filled, count(*) FILTER ({lost}) AS unfit, "
+                     f"min({x}) FILTER ({lost}) AS example FROM c_{role} GROUP BY format")
+    return with_roles(" UNION ALL ".join(parts), [role])
+
+
 # ---------------------------------------------------------------- helpers
 def rnd(x: str, scale: int = 2) -> str:
     return f"CAST(round(CAST({x} AS DECIMAL(38,10)), {scale}) AS DOUBLE)"

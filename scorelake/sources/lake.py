@@ -46,6 +46,20 @@ RAW_FILES = {
 # --- end of fixed values ----------------------------------------------------
 
 
+def headers(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
+    """(header line, its files) of the CSV files under ``path``, by their first file.
+
+    One aggregation over the lines, however many files there are: the header is the first line that is not blank in
+    the split that begins a file. Files without a line have no header and are left out."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begins"),
+        F.monotonically_increasing_id().alias("place"))  # grows with the line inside a split
+    first = lines.where((F.col("begins") == 0) & (F.trim("value") != "")).groupBy("file").agg(
+        F.min_by("value", "place").alias("header"))
+    found = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    return sorted(((r.header, [unquote(f) for f in r.files]) for r in found), key=lambda g: g[1])
+
+
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """A raw CSV file or folder with headers, every column as text (no inference pass).
 
@@ -53,10 +67,9 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     Schema inference would cost a full extra job per file and can type a column differently from
     batch to batch (``12.3`` overs as double); the silver step casts leniently instead.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(map(unquote, spark.read.text(path).inputFiles())):  # listed as URIs
-        by_header.setdefault(tuple(spark.read.option("header", True).csv(file).columns), []).append(file)
-    frames = [spark.read.option("header", True).csv(files) for files in by_header.values()]
+    files = [unquote(f) for f in spark.read.text(path).inputFiles()]  # listed as URIs
+    groups = [files] if len(files) == 1 else [g for _, g in headers(spark, path)]
+    frames = [spark.read.option("header", True).csv(group) for group in groups if group]
     if not frames:
         raise ValueError(f"no CSV file under {path}")
     out = frames[0]
@@ -98,10 +111,15 @@ def write_table(df: DataFrame, target: str, table: str | None = None,
     """Overwrite a table at ``target``.
 
     A ``jdbc:`` URL writes through Spark's JDBC source into ``table``
-    (truncating, so the table's definition and dependants survive); any
-    other target is a lake path written as Parquet.
+    (truncating, so the table's definition and dependants survive);
+    ``catalog:<database>`` replaces a name of the session's catalog
+    (``write_catalog_table``); any other target is a lake path written as Parquet.
     """
-    if target.startswith("jdbc:"):
+    if target.startswith("catalog:"):
+        if not table:
+            raise ValueError("a catalog target needs a table name")
+        write_catalog_table(df, target.removeprefix("catalog:"), table)
+    elif target.startswith("jdbc:"):
         if not table:
             raise ValueError("a JDBC target needs a table name")
         w = (df.write.format("jdbc").mode("overwrite").option("url", target)
@@ -114,6 +132,26 @@ def write_table(df: DataFrame, target: str, table: str | None = None,
         write_dataset(df, f"{target}/{table}" if table else target)
 
 
+def write_catalog_table(df: DataFrame, database: str, table: str, keep: int = 2) -> str:
+    """Replace a name of the catalog by a staged write; returns the table that holds the rows.
+
+    The rows go into a managed table of their own, and the name is a view that is pointed at it once it is complete:
+    a failed write leaves the name with its old rows, and readers of the table before go on (``keep`` tables stay)."""
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    stored = f"{table}__{new_version().replace('-', '_')}"
+    try:
+        df.write.format("parquet").saveAsTable(f"`{database}`.`{stored}`")
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{table}` AS SELECT * FROM `{database}`.`{stored}`")
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{stored}`")
+        raise
+    held = sorted(t.name for t in spark.catalog.listTables(database, f"{table}__*") if t.tableType == "MANAGED")
+    for name in held[:-max(1, keep)]:
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+    return stored
+
+
 def write_bronze(df: DataFrame, lake_root: str, role: str) -> None:
     """Land a raw role frame (text columns + format) as bronze."""
     write_dataset(df, f"{lake_root}/bronze/{spec(role).name}")

@@ -202,3 +202,66 @@ def test_schema_report_checks_types(spark, smoke_cards):
     s = smoke_cards.silver("batsmen")
     with pytest.raises(ValueError, match="another type"):
         lake.schema_report(s.withColumn("matches_played", F.col("matches_played").cast("string")), "batsmen")
+
+
+def test_headers_of_a_folder_come_in_one_aggregation(spark, tmp_path):
+    folder = tmp_path / "many files"
+    folder.mkdir()
+    for i in range(40):
+        head = "a,b" if i % 3 else "\nb,c"  # a blank line first
+        (folder / f"part {i:02d}.csv").write_text(f"{head}\n{i},x\n{i},y\n")
+    (folder / "zz-empty.csv").write_text("")
+    found = lake.headers(spark, str(folder))
+    assert [(h, len(f)) for h, f in found] == [("b,c", 14), ("a,b", 26)]
+    sc = spark.sparkContext
+    sc.setJobGroup("headers", "headers")
+    try:
+        df = lake.read_csv(spark, str(folder))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(sc.statusTracker().getJobIdsForGroup("headers")) < 12  # not one a file
+    rows = sorted(tuple(r) for r in df.select("a", "b", "c").na.fill("-").collect())
+    assert rows == sorted([(str(i), v, "-") if i % 3 else ("-", str(i), v) for i in range(40) for v in "xy"])
+
+
+def test_type_report_finds_what_the_cleaning_loses(spark):
+    from scorelake.operators import drift
+    cols = "Player string, Span string, Mat string, Inns string, Dis string, Ct string, St string, `Ct Wk` string, MD string, format string"
+    rows = [("A (SL)", "1990-1999", "3", "1", "-", "4", " 7 ", "1.5", "x", "ODI"), ("B (XYZ)", "soon", "4", None, "", "n/a", "8", "2", "y", "ODI"),
+            ("C (SL)", None, "3.5", "-", "-", "zz", "9", "3", None, "ODI"), ("D (SL)", "1990-1991", "5", "5", "6", "7", "8", "9", None, "Test")]
+    raw = spark.createDataFrame(rows, cols)
+    got = {(r.format, r.raw_column): (r.kind, r.filled, r.unfit, r.example) for r in drift.type_report(raw, "fielder").collect()}
+    assert len(got) == 16 and ("ODI", "MD") not in got
+    assert got["ODI", "Player"] == ("text", 3, 1, "B (XYZ)")
+    assert got["ODI", "Span"] == ("text", 2, 1, "soon")
+    assert got["ODI", "Mat"] == ("decimal", 3, 1, "3.5")
+    assert got["ODI", "Inns"] == ("int", 1, 0, None)
+    assert got["ODI", "Dis"] == ("empty", 0, 0, None)
+    assert got["ODI", "Ct"] == ("text", 3, 2, "n/a")
+    assert got["ODI", "Ct Wk"] == ("decimal", 3, 1, "1.5")
+    assert all(unfit == 0 for (fmt, _), (_, _, unfit, _) in got.items() if fmt == "Test")
+    assert {r.raw_column for r in drift.drifted(raw, "fielder", 0.5).collect()} == {"Ct"}
+    bare = drift.type_report(raw.select("Player", "format"), "fielder").where("raw_column = 'Ct'").first()
+    assert bare.kind == "empty" and drift.type_report(raw.where("false"), "fielder").count() == 0
+
+
+def test_catalog_name_keeps_its_rows_after_a_failed_write(spark):
+    database = f"scorelake_{uuid.uuid4().hex[:12]}"
+    target = f"catalog:{database}"
+    first = spark.range(5).select(F.col("id").alias("10"), F.lit("x").alias("format"))
+    lake.write_table(first, target, "t")
+    held = spark.sql(f"SELECT * FROM {database}.t")
+    broken = spark.range(5).select(F.raise_error(F.lit("lost")).cast("long").alias("10"), F.lit("y").alias("format"))
+    try:
+        lake.write_table(broken, target, "t")
+        raise AssertionError("the write should have failed")
+    except Exception as e:
+        assert "lost" in str(e)
+    assert spark.table(f"{database}.t").count() == 5
+    assert len(spark.catalog.listTables(database, "t__*")) == 1
+    lake.write_table(first.limit(2), target, "t")  # another number of rows; the one before stays for its readers
+    assert spark.table(f"{database}.t").count() == 2 and held.count() == 5
+    for _ in range(2):
+        lake.write_table(first.limit(3), target, "t")
+    assert spark.table(f"{database}.t").count() == 3 and len(spark.catalog.listTables(database, "t__*")) == 2
+    spark.sql(f"DROP DATABASE {database} CASCADE")
