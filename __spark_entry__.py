@@ -20,12 +20,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oracle import sql as O
+from oracle.fixed import (
+    BOARD_FORMAT_ORDER, COUNTRY_COLUMNS, COUNTRY_VIEW_COLUMNS, FIRST_METRICS, FORMATS, MEAN_METRICS, RANKING_VIEW_COLUMNS,
+    ROLES, spec,
+)
 from scorelake.functions.names import country_of, full_name_of, team_code_of
 from scorelake.functions.scalars import balls_from_overs, highest_score_text, safe_cast, span_years
 from scorelake.operators import board, drift, serve
 from scorelake.plans.layers import Scorecards
 from scorelake.sources import fixture
-from scorelake.specs import BOARD_FORMAT_ORDER, FORMATS, ROLES, spec
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -151,7 +154,7 @@ for _role in ROLES:
 
 # ==================================================== country "All" (G13-G15)
 def _country_all_sql(role: str, country: str | None = None) -> str:
-    cols = serve.COUNTRY_COLUMNS[role][2:]
+    cols = COUNTRY_COLUMNS[role][2:]
     aggs = []
     for c in cols:
         if c in ("average_batting_average", "average_strike_rate", "average_bowling_average",
@@ -181,12 +184,12 @@ for _role in ROLES:
 for _role in ROLES:
     for _fmt in FORMATS:
         _reg(f"country_list_{_role}_{_fmt.lower()}", O.with_roles(
-            f"SELECT {', '.join(serve.COUNTRY_COLUMNS[_role])} FROM cw_{_role} "
+            f"SELECT {', '.join(COUNTRY_COLUMNS[_role])} FROM cw_{_role} "
             f"WHERE format = '{_fmt}'", [_role], extra=O.country_wise_cte(_role)))(
             lambda spark, d, r=_role, f=_fmt: _sc(spark, d).country_stats(r, f))
 
 _reg("country_filter", O.with_roles(
-    f"SELECT {', '.join(serve.COUNTRY_COLUMNS['bowler'])} FROM cw_bowler "
+    f"SELECT {', '.join(COUNTRY_COLUMNS['bowler'])} FROM cw_bowler "
     "WHERE format = 'ODI' AND country = 'Pakistan'", ["bowler"],
     extra=O.country_wise_cte("bowler")))(
     lambda spark, d: _sc(spark, d).country_stats("bowler", "ODI", "Pakistan"))
@@ -244,12 +247,12 @@ for _role in ROLES:
 
 for _role in ROLES:
     _reg(f"ranking_view_{_role}", O.with_roles(
-        f"SELECT {', '.join(board.RANKING_VIEW_COLUMNS[_role])} FROM pt_{_role}", [_role],
+        f"SELECT {', '.join(RANKING_VIEW_COLUMNS[_role])} FROM pt_{_role}", [_role],
         extra=O.player_table_cte(_role)))(
         lambda spark, d, r=_role: board.ranking_view(_sc(spark, d).rankings(r), r))
 
 _reg("country_sorted", O.with_roles(
-    f"SELECT {', '.join(board.COUNTRY_VIEW_COLUMNS['fielder'])} FROM cw_fielder WHERE format = 'Test'",
+    f"SELECT {', '.join(COUNTRY_VIEW_COLUMNS['fielder'])} FROM cw_fielder WHERE format = 'Test'",
     ["fielder"], extra=O.country_wise_cte("fielder")))(
     lambda spark, d: board.country_view(board.country_sorted(
         _sc(spark, d).country_stats("fielder", "Test"), "fielder"), "fielder"))
@@ -333,7 +336,6 @@ _reg("metric_availability", _avail_sql("batsmen"))(
 def _values_sql(role: str, fmt: str, metrics: tuple[str, ...], picks: dict[str, int | str],
                 limit: int | None, carry: str = "") -> str:
     """Available metrics of the role with the picked players' values."""
-    from scorelake.specs import FIRST_METRICS, MEAN_METRICS
     text = any(m in FIRST_METRICS for m in metrics)
     rows = []
     pick_cols = ", ".join(f"{_pick_sql(role, fmt, rank)} AS pick_{name}" for name, rank in picks.items())
@@ -500,7 +502,7 @@ for _role, _fmt in (("batsmen", "T20"), ("bowler", "T20"), ("fielder", "Test")):
 
 for _role in ("batsmen", "bowler"):
     _reg(f"country_sorted_{_role}", O.with_roles(
-        f"SELECT {', '.join(board.COUNTRY_VIEW_COLUMNS[_role])} FROM cw_{_role} WHERE format = 'T20'",
+        f"SELECT {', '.join(COUNTRY_VIEW_COLUMNS[_role])} FROM cw_{_role} WHERE format = 'T20'",
         [_role], extra=O.country_wise_cte(_role)))(
         lambda spark, d, r=_role: board.country_view(board.country_sorted(
             _sc(spark, d).country_stats(r, "T20"), r), r))
@@ -749,13 +751,13 @@ for _role in ROLES:
     _cols = ", ".join(f"`{out}`" for _, out in spec(_role).serve[_fmt])
     _reg(f"sql_players_{_role}", _SQL[f"players_{_role}_{_fmt.lower()}"])(
         lambda spark, d, q=f"SELECT {_cols} FROM players('{_role}', '{_fmt}')": _sql_function(spark, d, q))
-    _cols = ", ".join(serve.COUNTRY_COLUMNS[_role])
+    _cols = ", ".join(COUNTRY_COLUMNS[_role])
     _reg(f"sql_country_all_{_role}", _SQL[f"country_all_{_role}"])(
         lambda spark, d, q=f"SELECT {_cols} FROM country_stats('{_role}', 'All')": _sql_function(spark, d, q))
     _reg(f"sql_country_list_{_role}", _SQL[f"country_list_{_role}_{_fmt.lower()}"])(
         lambda spark, d, q=f"SELECT {_cols} FROM country_stats('{_role}', '{_fmt}')": _sql_function(spark, d, q))
 _reg("sql_country_filter", _SQL["country_filter"])(lambda spark, d: _sql_function(
-    spark, d, f"SELECT {', '.join(serve.COUNTRY_COLUMNS['bowler'])} FROM country_stats('bowler', 'ODI') "
+    spark, d, f"SELECT {', '.join(COUNTRY_COLUMNS['bowler'])} FROM country_stats('bowler', 'ODI') "
     "WHERE country = 'Pakistan'"))
 _reg("sql_ranking_top", O.with_roles(
     "SELECT full_name, country, total_wickets, position FROM (" + _ranking_sql("bowler") + ") WHERE position <= 25",

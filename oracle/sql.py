@@ -10,8 +10,8 @@ goes through DECIMAL(38,10) as on the Spark side.
 
 from __future__ import annotations
 
-from scorelake.specs import (
-    BOARD_FORMAT_ORDER, COUNTRY_CODES, FIRST_METRICS, FORMATS, LOAD_FORMAT_ORDER,
+from oracle.fixed import (
+    BOARD_FORMAT_ORDER, BOARD_ROLE, COUNTRY_CODES, FIRST_METRICS, FORMATS, LOAD_FORMAT_ORDER,
     MAX_METRICS, MEAN_METRICS, spec,
 )
 
@@ -270,7 +270,6 @@ def board_rows_cte(role: str) -> str:
                 out[name] = "CASE WHEN format = 'T20' THEN \"Overs\" ELSE \"Balls\" END"
             elif name not in out:
                 out[name] = q(src)
-    from scorelake.specs import BOARD_ROLE
     cols = ", ".join(f"{e} AS {q(n)}" for n, e in out.items())
     return f"rows_{role} AS (SELECT {cols}, '{BOARD_ROLE[role]}' AS role FROM silver_{role})"
 

@@ -39,3 +39,11 @@ def test_entry_smoke(spark):
 def test_rows_only_queries(spark):
     for name in sorted(set(E.queries()) - set(E.oracle_sql())):
         assert E.queries()[name](spark, SMOKE).count() > 0, name
+
+
+def test_the_oracle_takes_nothing_from_the_library():
+    folder = os.path.join(os.path.dirname(E.__file__), "oracle")
+    for name in os.listdir(folder):
+        if name.endswith(".py"):
+            with open(os.path.join(folder, name)) as fh:
+                assert "scorelake" not in fh.read(), name
