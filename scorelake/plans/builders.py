@@ -46,11 +46,15 @@ def cards(spark: SparkSession, source: str, root: str, role: str) -> None:
 
 
 def name_index(spark: SparkSession, source: str, root: str, role: str) -> None:
-    """Postings sorted by trigram, so that a search reads the file parts of its trigrams."""
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ("format", "gram", "position")
-    index = board.postings(lake.read_gold(spark, source, f"cards_{role}")).repartitionByRange(parts, *order)
-    index.sortWithinPartitions(*order).write.mode("overwrite").partitionBy("format").parquet(f"{root}/gold/name_index_{role}")
+    """Postings sorted by trigram in their files, so that a search reads the file parts of its trigrams.
+
+    The cards are dealt, ``INDEX_CARDS`` neighbours by position together, and not their postings, of which
+    there are many to a card."""
+    held = lake.read_gold(spark, source, f"cards_{role}").select("format", "position", "full_name", "value", "country")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-held.count() // INDEX_CARDS))
+    run = F.floor(F.col("position") / INDEX_CARDS)
+    index = board.postings(held.repartition(parts, F.col("format"), run)).sortWithinPartitions("format", "gram", "position")
+    index.write.mode("overwrite").partitionBy("format").parquet(f"{root}/gold/name_index_{role}")
 
 
 def format_ranking(spark: SparkSession, source: str, root: str, role: str) -> None:
@@ -66,6 +70,9 @@ def availability(spark: SparkSession, source: str, root: str, role: str) -> None
     board.availability_flags(rows, role).coalesce(1).write.mode("overwrite").parquet(f"{root}/gold/availability_{role}")
 
 
+#: Cards of a format that stand in one sorted file of the name index.
+INDEX_CARDS = 50_000
+
 _SCHEMAS: dict[tuple[str, str], T.StructType] = {}
 
 
