@@ -215,6 +215,13 @@ def shape_dims(block: Block):
     return np.concatenate((dim[inside], _hashed(lag))), np.concatenate((row[inside], row_of(first)))
 
 
+def _shape_counts(block: Block):
+    """(row * DIMENSIONS + dimension, its count) in order, and where each row begins and the last one ends."""
+    dim, row = shape_dims(block)
+    pairs, c = np.unique(row * DIMENSIONS + dim, return_counts=True)
+    return pairs, c, np.searchsorted(pairs, np.arange(block.rows + 1) * DIMENSIONS)
+
+
 def _hashed(code: np.ndarray) -> np.ndarray:
     return ((code.astype(U64) * U64(0x9E3779B97F4A7C15)) >> U64(52)).astype(np.int64) % DIMENSIONS
 
@@ -283,12 +290,10 @@ def train(df: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> tuple[
         part = np.where(soft >= 0.5, share[True], share[False])
         uniform = (np.asarray(batch.column(1)) % (1 << 30)) / float(1 << 30)
         keep = np.flatnonzero(uniform < part)
-        dim, row = shape_dims(block)
-        pairs, c = np.unique(row * DIMENSIONS + dim, return_counts=True)
-        edge = np.searchsorted(pairs, np.arange(block.rows + 1) * DIMENSIONS)
-        rows = [{"dims": (pairs[edge[r]:edge[r + 1]] - r * DIMENSIONS).tolist(),
-                 "n": c[edge[r]:edge[r + 1]].tolist(), "soft": float(soft[r]), "weight": 1 / float(part[r]),
-                 "h": batch.column(1)[r].as_py()} for r in keep.tolist()]
+        pairs, c, edge = _shape_counts(Block(batch.column(0).take(pa.array(keep))))
+        rows = [{"dims": (pairs[edge[i]:edge[i + 1]] - i * DIMENSIONS).tolist(),
+                 "n": c[edge[i]:edge[i + 1]].tolist(), "soft": float(soft[r]), "weight": 1 / float(part[r]),
+                 "h": batch.column(1)[r].as_py()} for i, r in enumerate(keep.tolist())]
         return pa.RecordBatch.from_pylist(rows, pa.schema([
             ("dims", pa.list_(pa.int32())), ("n", pa.list_(pa.int32())), ("soft", pa.float64()),
             ("weight", pa.float64()), ("h", pa.int64())]))

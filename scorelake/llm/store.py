@@ -55,8 +55,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Batches hold at most so many bytes (or one row): what a task keeps in memory follows the longest row.
-BATCH_BYTES = 2 << 20
+#: Batches hold at most so many bytes (or one row): what a task keeps in memory follows the longest row. A numpy
+#: step holds some 100 bytes per byte of text, and workers keep what they once took.
+BATCH_BYTES = 1 << 19
 
 
 def parts(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:

@@ -155,3 +155,26 @@ def test_stages_on_odd_rows(spark, empty):
         for name, stage in corpus_pipeline.STAGES:
             df = stored(stage(spark, df, SMALL), name)
         df.count()
+
+
+def test_slices_of_the_scorer_take_little_memory():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from scorelake.llm import quality
+    from scorelake.llm.store import parts
+    from scorelake.llm.textblock import Block
+
+    batch = pa.RecordBatch.from_arrays([pa.array([f"Some words of row {i}, and 12 more. " * 60 for i in range(3000)])], ["text"])
+    scorer = quality.Scorer(np.linspace(-1, 1, quality.DIMENSIONS), 0.1)
+    whole = np.concatenate([scorer.score(Block(p.column(0))) for p in parts(batch.slice(0, 40), 1)])
+    tracemalloc.start()
+    try:
+        scores = np.concatenate([scorer.score(Block(p.column(0))) for p in parts(batch, 1000)])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 64 << 20
+    assert len(scores) == 3000 and np.allclose(scores[:40], whole)
