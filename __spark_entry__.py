@@ -728,13 +728,10 @@ def _catalog_tables(spark, d):
     """The 24 names written to the session's catalog, each read back by its name."""
     from functools import reduce
     from uuid import uuid4
-    from scorelake.sources import lake
+    from scorelake.plans.refresh import write_tables
     database = f"scorelake_{uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{_scratch_lake(spark)}/catalog'")
-    names = []
-    for name, df in _lake(spark, d).named_tables():
-        lake.write_table(df, f"catalog:{database}", name)
-        names.append(name)
+    names = write_tables(spark, _lake(spark, d).named_tables(), f"catalog:{database}")
     return reduce(DataFrame.union, [
         spark.table(f"{database}.{name}").agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")) for name in names])
 

@@ -15,7 +15,7 @@ two, and any replaced within the hour, by default) and are then dropped (S5).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -27,6 +27,9 @@ from scorelake.plans import builders, registry
 from scorelake.sources import lake
 from scorelake.specs import ROLES
 
+#: Named tables that are written side by side: a few small ones do not fill the cluster.
+TABLES_AT_ONCE = 6
+
 
 @dataclass
 class RefreshReport:
@@ -63,9 +66,10 @@ def _build(spark: SparkSession, role: str, datasets: list[str], root: str, where
     _all_of(spark, [lambda d=d: chain(d) for d in heads])
 
 
-def _all_of(spark: SparkSession, jobs: list) -> list:
-    """Run jobs side by side (their job properties follow them); the first failure drops those not begun."""
-    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+def _all_of(spark: SparkSession, jobs: list, at_once: int | None = None) -> list:
+    """Run jobs side by side (their job properties follow them), at most ``at_once`` of them; the first failure drops
+    those not begun."""
+    with ThreadPoolExecutor(max_workers=max(1, min(len(jobs), at_once or len(jobs)))) as pool:
         futures = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
         try:
             return [f.result() for f in futures]
@@ -101,12 +105,19 @@ def refresh(spark: SparkSession, lake_root: str, raw: dict[str, DataFrame] | Non
     lake.publish(spark, lake_root, version, roles)
     if table_target is not None:
         from scorelake.plans.layers import Scorecards
-        for name, df in Scorecards.from_lake(spark, lake_root).named_tables(roles):
-            lake.write_table(df, table_target, name, table_options)
+        write_tables(spark, Scorecards.from_lake(spark, lake_root).named_tables(roles), table_target, table_options)
     report.dropped = lake.drop_versions(spark, lake_root, keep, min_age)
     return report
 
 
+def write_tables(spark: SparkSession, named: Iterable[tuple[str, DataFrame]], target: str,
+                 options: dict[str, str] | None = None) -> list[str]:
+    """Overwrite each (name, frame) at ``target``, ``TABLES_AT_ONCE`` of them side by side; returns the names."""
+    frames = list(named)
+    _all_of(spark, [lambda n=n, df=df: lake.write_table(df, target, n, options) for n, df in frames], TABLES_AT_ONCE)
+    return [n for n, _ in frames]
+
+
 def refresh_derived(spark: SparkSession, lake_root: str, name: str, keep: int = 2,
                     min_age: float = 3600.0) -> RefreshReport:
     """S6 for one derived name: rebuild it and what is built from it; all else keeps its version.

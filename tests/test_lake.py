@@ -4,6 +4,8 @@ import csv
 import os
 import uuid
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from scorelake.plans import registry
@@ -265,3 +267,26 @@ def test_catalog_name_keeps_its_rows_after_a_failed_write(spark):
         lake.write_table(first.limit(3), target, "t")
     assert spark.table(f"{database}.t").count() == 3 and len(spark.catalog.listTables(database, "t__*")) == 2
     spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_named_tables_are_written_side_by_side(spark, tmp_path, monkeypatch):
+    import threading
+
+    from scorelake.plans import refresh
+    both, write = threading.Barrier(2, timeout=60), lake.write_table
+
+    def waits_for_another(*args):
+        both.wait()
+        write(*args)
+
+    monkeypatch.setattr(refresh.lake, "write_table", waits_for_another)
+    named = [(f"t{n}", spark.range(n)) for n in range(1, 5)]
+    assert refresh.write_tables(spark, named, f"file://{tmp_path}") == ["t1", "t2", "t3", "t4"]
+    assert [spark.read.parquet(f"file://{tmp_path}/t{n}").count() for n in range(1, 5)] == [1, 2, 3, 4]
+
+
+def test_a_failed_named_table_fails_the_write(spark, tmp_path):
+    from scorelake.plans import refresh
+    bad = spark.range(2).select(F.raise_error(F.lit("torn")).alias("x"))
+    with pytest.raises(Exception, match="torn"):
+        refresh.write_tables(spark, [("t1", spark.range(1)), ("t2", bad)], f"file://{tmp_path}")
