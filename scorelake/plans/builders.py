@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from scorelake.operators import board, gold, positions, serve
 from scorelake.sources import lake
+from scorelake.specs import FORMATS
 
 
 def _staged(spark: SparkSession, df: DataFrame, order: list, root: str, name: str, group: tuple[str, ...] = (),
@@ -49,11 +50,14 @@ def name_index(spark: SparkSession, source: str, root: str, role: str) -> None:
     """Postings sorted by trigram in their files, so that a search reads the file parts of its trigrams.
 
     The cards are dealt, ``INDEX_CARDS`` neighbours by position together, and not their postings, of which
-    there are many to a card."""
+    there are many to a card. Each run of neighbours is a task of its own, so that what a task sorts does not
+    grow with the cards."""
     held = lake.read_gold(spark, source, f"cards_{role}").select("format", "position", "full_name", "value", "country")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-held.count() // INDEX_CARDS))
-    run = F.floor(F.col("position") / INDEX_CARDS)
-    index = board.postings(held.repartition(parts, F.col("format"), run)).sortWithinPartitions("format", "gram", "position")
+    formats = F.array(*[F.lit(f) for f in FORMATS])
+    at = F.floor(F.col("position") / INDEX_CARDS) * (len(FORMATS) + 1) + F.array_position(formats, F.col("format"))
+    last = held.agg(F.max(at)).first()[0]
+    parts = 1 if last is None else last + 1
+    index = board.postings(held.repartitionById(parts, at.cast("int"))).sortWithinPartitions("format", "gram", "position")
     index.write.mode("overwrite").partitionBy("format").parquet(f"{root}/gold/name_index_{role}")
 
 
