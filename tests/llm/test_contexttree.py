@@ -107,3 +107,31 @@ def test_no_training_rows_and_empty_table(spark, empty):
     got = T.score(frame(spark, [(1, "ab")]), F.lit(False)).collect()[0]
     assert math.isclose(got.score, 3 * math.log10(1 / 256), rel_tol=1e-6) and got.train_tokens == 0
     assert T.score(empty, F.lit(True)).count() == 0
+
+
+def test_scores_are_those_of_the_whole_tree(spark, monkeypatch):
+    """At the registered parameters rare contexts count in full, whether their grams are broadcast or joined."""
+    import random
+
+    rnd = random.Random(5)
+    common = [f"{rnd.choice('the cat sat on a mat'.split())} " * 40 for _ in range(30)]
+    rare = [" ".join(f"{rnd.randrange(10 ** 9):x}" for _ in range(60)) for _ in range(12)]
+    texts = [*common, *rare, rare[0], "", None, "Ünï çödé", f"{rare[1][:90]} zz"]
+    docs = frame(spark, list(enumerate(texts))).repartition(3)
+    learned = [normal(t) for i, t in enumerate(texts) if i % 4 != 1]
+    want = {i: plain_ctw(learned, normal(texts[i]), T.DEPTH) for i in (1, 33, 42, 43, 45, 46)}
+    for frequent, held in ((T.FREQUENT, T.SLICE_GRAMS), (50, 1)):
+        monkeypatch.setattr(T._subtrees, "__defaults__", (held,))
+        got = {r.doc_id: r for r in T.score(docs, F.col("doc_id") % 4 != 1, frequent=frequent).collect()}
+        assert len(got) == len(texts)
+        for i, w in want.items():
+            assert math.isclose(got[i].score * math.log(10), w, rel_tol=1e-8), (frequent, i)
+
+
+def test_a_context_seen_twice_in_a_large_corpus_is_learned(spark):
+    """Less than 1 / 32,768 of the training bytes, as the second occurrence of a passage is."""
+    passage = "qzx vjw kpq zzv"
+    texts = ["aaaa bbbb " * 20_000, passage, passage, passage]
+    got = {r.doc_id: r.bits_per_byte for r in T.score(
+        frame(spark, list(enumerate(texts))), F.col("doc_id") != 3).collect()}
+    assert got[3] < 3
